@@ -122,9 +122,15 @@ v AS (SELECT *,
   CASE axis WHEN 0 THEN 2 * (qx * qz - qw * qy) WHEN 1 THEN 2 * (qy * qz + qw * qx) ELSE 1 - 2 * (qx * qx + qy * qy) END AS n2 FROM u),
 nrm AS (SELECT *, n0 / greatest(sqrt(n0 * n0 + n1 * n1 + n2 * n2), 1e-9) AS nx, n1 / greatest(sqrt(n0 * n0 + n1 * n1 + n2 * n2), 1e-9) AS ny,
   n2 / greatest(sqrt(n0 * n0 + n1 * n1 + n2 * n2), 1e-9) AS nz FROM v)"""
-_PLANE_CTE = _NORM_CTE + """, pl AS (SELECT nrm.*, (a * x + b * y + c * z + d) / sqrt(a * a + b * b + c * c) AS sd,
-  abs(nx * (a / sqrt(a * a + b * b + c * c)) + ny * (b / sqrt(a * a + b * b + c * c)) + nz * (c / sqrt(a * a + b * b + c * c))) AS align
-  FROM nrm JOIN planes USING (scene_id))"""
+_PLANE_CTE = """p0 AS (SELECT s.*, a, b, c, d, rot_0 AS qw, rot_1 AS qx, rot_2 AS qy, rot_3 AS qz,
+  greatest(rot_0 * rot_0 + rot_1 * rot_1 + rot_2 * rot_2 + rot_3 * rot_3, 1e-18) AS n2 FROM splats AS s JOIN planes USING (scene_id)),
+pl AS (SELECT *, (a * x + b * y + c * z + d) / sqrt(a * a + b * b + c * c) AS sd,
+  abs(CASE WHEN scale_0 <= scale_1 AND scale_0 <= scale_2
+      THEN a + 2e0 * (b * (qx * qy + qw * qz) + c * (qx * qz - qw * qy) - a * (qy * qy + qz * qz)) / n2
+    WHEN scale_1 <= scale_2
+      THEN b + 2e0 * (a * (qx * qy - qw * qz) + c * (qy * qz + qw * qx) - b * (qx * qx + qz * qz)) / n2
+    ELSE c + 2e0 * (a * (qx * qz + qw * qy) + b * (qy * qz - qw * qx) - c * (qx * qx + qy * qy)) / n2 END)
+  / sqrt(a * a + b * b + c * c) AS align FROM p0)"""
 
 
 @query("splat_normal", oracle(["splats"], f"SELECT {ID}, nx, ny, nz FROM nrm", _NORM_CTE))

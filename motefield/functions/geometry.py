@@ -97,10 +97,23 @@ def plane_distance() -> Column:
     return (a * x + b * y + c * z + d) / plane_norm(a, b, c)
 
 
-def plane_alignment(nx: Column, ny: Column, nz: Column) -> Column:
+def plane_alignment() -> Column:
+    """Cosine between the splat's normal and the plane's, without its sign.
+
+    The dot product of the rotated shortest axis with the plane normal, written
+    on the raw quaternion so that the expression stays small when Spark pushes
+    a filter on it down to the scan.
+    """
     a, b, c = cols("a", "b", "c")
-    n = plane_norm(a, b, c)
-    return F.abs(nx * (a / n) + ny * (b / n) + nz * (c / n))
+    w, x, y, z = cols(*ROT)
+    n2 = F.greatest(w * w + x * x + y * y + z * z, F.lit(1e-18))
+    two = F.lit(2.0)
+    d0 = a + two * (b * (x * y + w * z) + c * (x * z - w * y) - a * (y * y + z * z)) / n2
+    d1 = b + two * (a * (x * y - w * z) + c * (y * z + w * x) - b * (x * x + z * z)) / n2
+    d2 = c + two * (a * (x * z + w * y) + b * (y * z - w * x) - c * (x * x + y * y)) / n2
+    s0, s1, s2 = cols(*SCALES)
+    d = F.when((s0 <= s1) & (s0 <= s2), d0).when(s1 <= s2, d1).otherwise(d2)
+    return F.abs(d) / plane_norm(a, b, c)
 
 
 # --- voxels and turns ------------------------------------------------------

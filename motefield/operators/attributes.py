@@ -58,9 +58,7 @@ def normals(df: DataFrame) -> DataFrame:
 def plane_columns(df: DataFrame, planes: DataFrame) -> DataFrame:
     """Signed distance to the scene's floor and alignment of the splat with it."""
     from ..staging import small
-    nx, ny, nz = g.splat_normal()
-    return (df.join(small(planes), "scene_id")
-            .withColumns({"sd": g.plane_distance(), "align": g.plane_alignment(nx, ny, nz)}))
+    return df.join(small(planes), "scene_id").withColumns({"sd": g.plane_distance(), "align": g.plane_alignment()})
 
 
 def to_y_down(df: DataFrame) -> DataFrame:

@@ -3,8 +3,7 @@
 A group may hold a third of all rows, so no task may see a whole group.  The
 selection runs in two narrow scans:
 
-1. a histogram over order-preserving buckets (sign, binary exponent, leading
-   mantissa bits).  Partial aggregation leaves a few thousand rows per group
+1. a histogram over order-preserving buckets, logarithmic in the magnitude.  Partial aggregation leaves a few thousand rows per group
    whatever the group's size; running counts tell which bucket holds each rank;
 2. the values of only those buckets, counted per distinct value, whose running
    counts give the two order statistics next to each requested position.
@@ -17,23 +16,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import any_of, stage, staged_small
+from ..staging import small, stage, staged_small
 
-_STEPS = 1024          # buckets per binary exponent
-_MIN_EXP = -32         # magnitudes below 2**-32 share the bucket of zero
+_NEAR = 1e6            # magnitudes well below 1 / _NEAR share the buckets around zero
+_STEPS = 1500.0        # buckets per factor e above that
 
 
 def ordered_bucket(v: Column) -> Column:
-    """Bucket number that never decreases as ``v`` grows.
+    """Bucket number that never decreases as ``v`` grows; finer near zero, bounded overall.
 
-    A rounding slip of ``log2`` next to a power of two moves a value onto the
-    neighbouring bucket edge, which is the same number, so order is kept.
+    asinh is linear around zero and logarithmic beyond, and its parts (square
+    root, sum, logarithm) are monotone in floating point as well.
     """
-    a = F.abs(v)
-    e = F.floor(F.log2(a))
-    mag = F.when(a < F.lit(2.0 ** _MIN_EXP), F.lit(0).cast("bigint")).otherwise(
-        (e - _MIN_EXP) * _STEPS + F.floor(a / F.pow(F.lit(2.0), e) * _STEPS) - _STEPS + 1)
-    return F.when(v < 0, -mag).otherwise(mag).cast("bigint")
+    return F.floor(F.asinh(v * F.lit(_NEAR)) * F.lit(_STEPS))
 
 
 def percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
@@ -59,22 +54,22 @@ def percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
             .withColumn("_total", F.sum("_n").over(whole))
             .withColumn("_start", F.col("_end") - F.col("_n")))
 
-    def position(p: float) -> Column:
-        return F.lit(p / 100.0) * (F.col("_total") - 1)
+    slots = list(dict.fromkeys((names.index(m), p) for _, m, p in want))
+    asks = F.array(*[F.struct(F.lit(n).alias("slot"), F.lit(i).alias("m"), F.lit(p / 100.0).alias("q"))
+                     for n, (i, p) in enumerate(slots)])
 
-    def lower(p: float) -> Column:
-        return F.floor(position(p))
+    def position(ask: Column) -> Column:
+        return ask["q"] * (F.col("_total") - 1)
 
-    def upper(p: float) -> Column:
-        return F.least(lower(p) + 1, F.col("_total") - 1)
+    def ranks(ask: Column) -> tuple[Column, Column]:
+        low = F.floor(position(ask))
+        return low, F.least(low + 1, F.col("_total") - 1)
 
     def holds(rank: Column, lo: str, hi: str) -> Column:
         return (rank >= F.col(lo)) & (rank < F.col(hi))
 
-    slots = {(names.index(m), p) for _, m, p in want}
-    needed = any_of([
-        (F.col("_m") == i) & (holds(lower(p), "_start", "_end") | holds(upper(p), "_start", "_end"))
-        for i, p in sorted(slots)])
+    needed = F.exists(asks, lambda a: (a["m"] == F.col("_m")) & (
+        holds(ranks(a)[0], "_start", "_end") | holds(ranks(a)[1], "_start", "_end")))
     targets = staged_small(hist.where(needed).select(*group, "_b", "_start", "_total"))
 
     by_value = Window.partitionBy(*group, "_b").orderBy("_v")
@@ -84,31 +79,27 @@ def percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
                 by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .withColumn("_lo", F.col("_hi") - F.col("_n")))
 
-    aggs: list[Column] = []
-    for i, p in sorted(slots):
-        mine = F.col("_m") == i
-        tag = f"_{i}_{str(p).replace('.', '_')}"
-        aggs += [
-            F.max(F.when(mine & holds(lower(p), "_lo", "_hi"), F.col("_v"))).alias("l" + tag),
-            F.max(F.when(mine & holds(upper(p), "_lo", "_hi"), F.col("_v"))).alias("u" + tag),
-            F.max(F.when(mine, position(p))).alias("q" + tag)]
+    asked = fine.withColumn("_a", F.explode(asks)).where(F.col("_a.m") == F.col("_m"))
+    low, high = ranks(F.col("_a"))
+    asked = asked.withColumns({"_l": F.when(holds(low, "_lo", "_hi"), F.col("_v")),
+                               "_u": F.when(holds(high, "_lo", "_hi"), F.col("_v")),
+                               "_p": position(F.col("_a"))})
+    value = F.col("_l") + (F.col("_u") - F.col("_l")) * (F.col("_p") - F.floor("_p"))
+    per_slot = (asked.where(F.col("_l").isNotNull() | F.col("_u").isNotNull())
+                .groupBy(*keys, F.col("_a.slot").alias("_slot"))
+                .agg(F.max("_l").alias("_l"), F.max("_u").alias("_u"), F.max("_p").alias("_p"),
+                     F.max("_total").alias("_total"))
+                .withColumn("_value", value))
+    wide = [F.max(F.when(F.col("_slot") == slots.index((names.index(m), p)), F.col("_value"))).alias(out)
+            for out, m, p in want]
     if with_count:
-        aggs.append(F.max("_total").alias(with_count))
-    wide = fine.groupBy(*keys).agg(*aggs)
-    cols = []
-    for out, m, p in want:
-        tag = f"_{names.index(m)}_{str(p).replace('.', '_')}"
-        lo, hi, pos = F.col("l" + tag), F.col("u" + tag), F.col("q" + tag)
-        cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(out))
-    if with_count:
-        cols.append(F.col(with_count))
-    return stage(wide.select(*keys, *cols))
+        wide.append(F.max("_total").alias(with_count))
+    return stage(per_slot.groupBy(*keys).agg(*wide))
 
 
 def with_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
                      want: list[tuple[str, str, float]]) -> DataFrame:
     """Every row of ``df`` with its group's percentiles attached."""
-    from ..staging import small
     return df.join(small(percentiles(df, keys, measures, want)), keys)
 
 
