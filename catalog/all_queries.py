@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import rows, cleaning  # noqa: F401
+from . import rows, cleaning, joins  # noqa: F401
