@@ -164,13 +164,13 @@ def view_boxes(spark, sf, pad):
     it = pixel_items(spark, sf).withColumn("view_id", (F.floor(F.col("k") / 4) % 8).cast("int"))
     it = it.groupBy("scene_id", "view_id").agg(F.min_by(F.struct("x0", "y0", "x1", "y1"), "item_id").alias("b"))
     wide = [F.floor(F.col("b.x0") / 3).cast("int").alias("x0"), F.floor(F.col("b.y0") / 3).cast("int").alias("y0"),
-            (F.col("b.x1") + 90).alias("x1"), (F.col("b.y1") + 50).alias("y1")]
+            (F.col("b.x1") + 20).alias("x1"), (F.col("b.y1") + 10).alias("y1")]
     it = it.select("scene_id", "view_id", *wide)
     return views(spark, sf).join(it.withColumns(bx.as_columns(pad(bx.box()))), ["scene_id", "view_id"])
 
 
 _VB = """vb0 AS (SELECT scene_id, CAST(floor(k / 4) AS BIGINT) % 8 AS view_id, CAST(floor(min_by(x0, item_id) / 3) AS INTEGER) AS x0,
-  CAST(floor(min_by(y0, item_id) / 3) AS INTEGER) AS y0, min_by(x1, item_id) + 90 AS x1, min_by(y1, item_id) + 50 AS y1 FROM px GROUP BY 1, 2)"""
+  CAST(floor(min_by(y0, item_id) / 3) AS INTEGER) AS y0, min_by(x1, item_id) + 20 AS x1, min_by(y1, item_id) + 10 AS y1 FROM px GROUP BY 1, 2)"""
 
 
 def _vb(pad):
@@ -183,19 +183,19 @@ from .rows import pad_sql  # noqa: E402
 @query("bbox_vote", oracle(["splats", "views", "items"], f"SELECT {ID}, votes, visible FROM (SELECT {ID}, n, count(*) FILTER (WHERE seen) AS visible, "
        f"count(*) FILTER (WHERE seen AND u >= x0 AND u <= x1 AND v >= y0 AND v <= y1) AS votes FROM (SELECT s.*, x0, y0, x1, y1, n, "
        f"front AND u >= 0 AND u < w AND v >= 0 AND v < h AS seen FROM flt AS s JOIN vb ON s.scene_id = vb.scene_id AND s.view_id = vb.view_id) AS a GROUP BY {ID}, n) AS b "
-       f"WHERE votes >= ceil(0.6e0 * n) AND visible >= ceil(0.6e0 * n)".replace("votes, visible FROM (SELECT", "CAST(votes AS INTEGER) AS votes, CAST(visible AS INTEGER) AS visible FROM (SELECT", 1),
+       f"WHERE votes >= ceil(0.6e0 * n) AND visible >= ceil(0.6e0 * n)",
        ", ".join([PX_CTE, _vb(pad_sql("(x1 - x0) * 0.05e0", "(y1 - y0) * 0.05e0", "(y1 - y0) * 0.12e0")), FLT])))
 def bbox_vote(spark, sf):
     vb = view_boxes(spark, sf, lambda b: bx.pad_with_top(b, k.BOX_VOTE_PAD, k.BOX_VOTE_TOP, F.lit(W), F.lit(H)))
-    return vo.keep_box_votes(vo.box_votes(splats(spark, sf), vb, S)).select(*KEY, "votes", "visible")
+    return vo.keep_box_votes(vo.box_votes(splats(spark, sf), vb, S, KEY)).select(*KEY, "votes", "visible")
 
 
-@query("art_bbox_vote", oracle(["splats", "views", "items"], f"SELECT {ID}, CAST(votes AS INTEGER) AS votes FROM (SELECT {ID}, n, "
+@query("art_bbox_vote", oracle(["splats", "views", "items"], f"SELECT {ID}, votes FROM (SELECT {ID}, n, "
        f"count(*) FILTER (WHERE {_IN}) AS votes FROM flt AS s JOIN vb ON s.scene_id = vb.scene_id AND s.view_id = vb.view_id GROUP BY {ID}, n) AS b "
        f"WHERE votes >= greatest(1, ceil(0.5e0 * n))", ", ".join([PX_CTE, _vb(pad_sql("(x1 - x0) * 0.03e0", "(y1 - y0) * 0.03e0")), FLT])))
 def art_bbox_vote(spark, sf):
     vb = view_boxes(spark, sf, lambda b: bx.pad(b, k.ART_VIEW_PAD, F.lit(W), F.lit(H)))
-    return vo.keep_art_votes(vo.box_votes(splats(spark, sf), vb, S, in_image=False)).select(*KEY, "votes")
+    return vo.keep_art_votes(vo.box_votes(splats(spark, sf), vb, S, KEY, in_image=False)).select(*KEY, "votes")
 
 
 _SCORE = VOTE_CTE + ", sc AS (SELECT *, CASE WHEN visible > 0 THEN CAST(votes AS DOUBLE) / visible ELSE 0.5e0 END AS insideness FROM vt)"

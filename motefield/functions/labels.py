@@ -103,17 +103,26 @@ def _words_pattern(words: list[str]) -> str:
     return "|".join(w.replace("-", r"\-") for w in words)
 
 
+_SYNONYM_LIST = [(w, name) for name, words in SYNONYMS for w in words]
+
+
 def canonical(label: Column) -> Column:
     """Class name of the first synonym found on word boundaries, keeping what precedes it."""
     lo = strip(F.lower(F.coalesce(label, F.lit(""))))
-    out = []
-    for name, words in SYNONYMS:
-        for w in words:
-            pat = unicode_words(rf"\b{_words_pattern([w])}\b")
-            prefix = strip(F.regexp_extract(lo, rf"(?U)^(.*?)\b{_words_pattern([w])}\b", 1))
-            out.append(F.when(lo.rlike(pat), F.when(
-                prefix != "", F.concat(prefix, F.lit(" " + name))).otherwise(F.lit(name))))
-    return F.coalesce(*out, lo)
+    names = F.array(*[F.lit(n) for _, n in _SYNONYM_LIST])
+    heads = F.array(*[F.lit(rf"(?U)^(.*?)\b{_words_pattern([w])}\b") for w, _ in _SYNONYM_LIST])
+
+    def first(c: Column) -> Column:
+        return F.coalesce(*[F.when(c.rlike(unicode_words(rf"\b{_words_pattern([w])}\b")), F.lit(i + 1))
+                            for i, (w, _) in enumerate(_SYNONYM_LIST)])
+
+    def renamed(s: Column) -> Column:
+        prefix = strip(F.call_function("regexp_extract", s["lo"], F.element_at(heads, s["i"]), F.lit(1)))
+        return F.when(s["i"].isNull(), s["lo"]).otherwise(strip(F.concat(prefix, F.lit(" "), F.element_at(names, s["i"]))))
+
+    # one-element transforms bind the cleaned label and the match once
+    found = F.transform(F.array(lo), lambda c: F.struct(c.alias("lo"), first(c).alias("i")))
+    return F.element_at(F.transform(found, renamed), 1)
 
 
 def is_singular(canon: Column) -> Column:

@@ -201,7 +201,7 @@ def axis_extents(df: DataFrame, keys: list[str]) -> DataFrame:
 def vertical_axis(df: DataFrame, keys: list[str]) -> DataFrame:
     """The axis of the smallest p15..p85 extent; x before y before z on ties."""
     e = axis_extents(df, keys)
-    first = F.array_min(F.array(*[F.struct(F.col(f"{a}_ext"), F.lit(i), F.lit(a).alias("axis"))
+    first = F.array_min(F.array(*[F.struct(F.col(f"{a}_ext").alias("ext"), F.lit(i).alias("i"), F.lit(a).alias("axis"))
                                   for i, a in enumerate("xyz")]))
     return e.withColumn("axis", first["axis"])
 

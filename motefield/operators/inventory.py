@@ -114,3 +114,12 @@ def match_flags(objects: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     spots = source.select(*keys, "x", "y", "z").distinct().withColumn("_hit", F.lit(True))
     out = objects.join(spots, [*keys, "x", "y", "z"], "left")
     return out.withColumn("matched", F.coalesce("_hit", F.lit(False))).drop("_hit")
+
+
+def concat_passes(passes: dict[str, DataFrame]) -> DataFrame:
+    """Items of all passes, each tagged with its pass."""
+    out = None
+    for name, df in passes.items():
+        df = df.withColumn("pass", F.lit(name))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as k
 from ..functions import boxes as bx
 from ..functions import geometry as g
-from ..staging import size_in_bytes, small, stage, staged_small
+from ..staging import small, stage, staged_small
 from .masks import merge_runs, pack_runs
 
 RUN_TILE = 64
@@ -23,28 +23,23 @@ def required_votes(n_views: Column, frac: Column | float, n_prompts: Column | No
     return F.ceil(frac * n_views)
 
 
-def box_votes(df: DataFrame, views: DataFrame, on: list[str], in_image: bool = True) -> DataFrame:
-    """Adds ``votes``, ``visible`` and ``n_views`` from views that carry a box ``x0..y1``.
+def box_votes(df: DataFrame, views: DataFrame, on: list[str], ids: list[str], in_image: bool = True) -> DataFrame:
+    """Per splat ``votes``, ``visible`` and ``n_views`` over views that carry a box ``x0..y1``.
 
-    The few views of a group travel as one array, so that the splats neither
-    multiply nor move.
+    The views of a row are adjacent after the join, so partial aggregation folds
+    them before the narrow result is shuffled by splat.
     """
-    packed = staged_small(views.groupBy(*on).agg(F.collect_list(
-        F.struct("view_id", *CAMERA, "x0", "y0", "x1", "y1")).alias("_views")))
-    x, y, z = g.cols("x", "y", "z")
-
-    def count(acc: Column, v: Column) -> Column:
-        u, w, front = g.project_float(x, y, z, lambda n: v[n])
-        seen = front & (u >= 0) & (u < v["w"]) & (w >= 0) & (w < v["h"]) if in_image else front
-        hit = seen & bx.contains((v["x0"], v["y0"], v["x1"], v["y1"]), u, w)
-        return F.struct((acc["votes"] + hit.cast("int")).alias("votes"),
-                        (acc["visible"] + seen.cast("int")).alias("visible"))
-
-    start = F.struct(F.lit(0).alias("votes"), F.lit(0).alias("visible"))
-    out = df.join(packed, on, "left").withColumn(
-        "_t", F.aggregate(F.coalesce(F.col("_views"), F.array().cast(packed.schema["_views"].dataType)), start, count))
-    return out.withColumns({"votes": F.col("_t.votes"), "visible": F.col("_t.visible"),
-                            "n_views": F.greatest(F.size("_views"), F.lit(0))}).drop("_t", "_views")
+    cams = views.select(*on, "view_id", *CAMERA, "x0", "y0", "x1", "y1")
+    out = df.select(*ids, *on, "x", "y", "z").join(staged_small(cams), on, "left")
+    u, v, front = g.project_float(*g.cols("x", "y", "z"))
+    out = out.select(*ids, *on, "view_id", "w", "h", "x0", "y0", "x1", "y1", u.alias("_u"), v.alias("_v"), front.alias("_front"))
+    u, v = F.col("_u"), F.col("_v")
+    seen = F.col("_front")
+    if in_image:
+        seen = seen & (u >= 0) & (u < F.col("w")) & (v >= 0) & (v < F.col("h"))
+    hit = seen & bx.contains(bx.box(), u, v)
+    return out.groupBy(*ids, *on).agg(F.count_if(hit).alias("votes"), F.count_if(seen).alias("visible"),
+                                      F.count("view_id").alias("n_views"))
 
 
 def keep_box_votes(voted: DataFrame, frac: float = k.BOX_VOTE_FRAC) -> DataFrame:
