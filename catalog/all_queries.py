@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import rows, cleaning, joins, aggregates  # noqa: F401
+from . import rows, cleaning, joins, aggregates, texts, files, jobs  # noqa: F401

@@ -72,6 +72,11 @@ COMPANION_ITEMS = {
 }
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, so that expressions stay small."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def unicode_words(pattern: str) -> str:
     """Word boundaries that treat accented letters as letters."""
     return "(?U)" + pattern
@@ -120,9 +125,7 @@ def canonical(label: Column) -> Column:
         prefix = strip(F.call_function("regexp_extract", s["lo"], F.element_at(heads, s["i"]), F.lit(1)))
         return F.when(s["i"].isNull(), s["lo"]).otherwise(strip(F.concat(prefix, F.lit(" "), F.element_at(names, s["i"]))))
 
-    # one-element transforms bind the cleaned label and the match once
-    found = F.transform(F.array(lo), lambda c: F.struct(c.alias("lo"), first(c).alias("i")))
-    return F.element_at(F.transform(found, renamed), 1)
+    return let(let(lo, lambda c: F.struct(c.alias("lo"), first(c).alias("i"))), renamed)
 
 
 def is_singular(canon: Column) -> Column:
@@ -202,17 +205,20 @@ def tagged_terms(prompt: Column) -> Column:
 
 def cleaned_prompt(raw: Column) -> Column:
     """Strip fences and quotes, keep the first line with any text."""
-    s = strip(raw)
-    unfenced = strip(F.array_join(F.filter(F.split(s, "\n"), lambda x: ~F.startswith(x, F.lit("```"))), "\n"))
-    s = F.when(F.startswith(s, F.lit("```")), unfenced).otherwise(s)
+    def unfence(s: Column) -> Column:
+        lines = F.filter(F.split(s, "\n"), lambda x: ~F.startswith(x, F.lit("```")))
+        return F.when(F.startswith(s, F.lit("```")), strip(F.array_join(lines, "\n"))).otherwise(s)
+
+    s = let(strip(raw), unfence)
     for q in ['"', "'", "`"]:
         s = F.regexp_replace(s, f"^{q}+|{q}+$", "")
-    s = strip(s)
-    quoted = r"""^"+|"+$"""
-    single = r"""^'+|'+$"""
-    lines = F.filter(F.transform(F.split(s, r"\r\n|[\n\r]"), lambda x: strip(F.regexp_replace(
-        F.regexp_replace(strip(x), quoted, ""), single, ""))), lambda x: x != "")
-    return F.coalesce(F.get(lines, F.lit(0)), s)
+
+    def first_line(c: Column) -> Column:
+        bare = lambda x: strip(F.regexp_replace(F.regexp_replace(strip(x), '^"+|"+$', ""), "^'+|'+$", ""))
+        lines = F.filter(F.transform(F.split(c, r"\r\n|[\n\r]"), bare), lambda x: x != "")
+        return F.coalesce(F.get(lines, F.lit(0)), c)
+
+    return let(strip(s), first_line)
 
 
 def structural(text: Column, parent: Column) -> Column:

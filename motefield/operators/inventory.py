@@ -123,3 +123,13 @@ def concat_passes(passes: dict[str, DataFrame]) -> DataFrame:
         df = df.withColumn("pass", F.lit(name))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
+
+
+def explode_info(info: DataFrame, keys: list[str]) -> DataFrame:
+    """A row per sub-object, material and colour of an object."""
+    def rows(kind: str, column: str) -> Column:
+        values = F.coalesce(F.col(column), F.array().cast("array<string>"))
+        return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    every = F.concat(rows("sub_object", "sub_objects"), rows("material", "materials"), rows("color", "colors"))
+    return info.select(*keys, F.explode(every).alias("_r")).select(*keys, "_r.*")

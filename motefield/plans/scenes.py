@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as k
+from ..functions import labels as lb
 from ..operators import filters as fl
+from ..operators import frames as fr
+from ..operators import hierarchy as hi
+from ..operators import hulls as hl
+from ..operators import inventory as inv
 from ..operators import selection as sel
+from ..operators import spatial as sp
+from ..operators import votes as vo
 from ..operators import voxels as vx
-from ..staging import stage
+from ..staging import small, stage, staged_small
 
 
 def clean_scenes(splats: DataFrame, planes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -17,3 +26,140 @@ def clean_scenes(splats: DataFrame, planes: DataFrame) -> tuple[DataFrame, DataF
     cleaned = stage(vx.with_voxel_count(fl.slice_chain(splats, planes), ["scene_id"], k.DENSITY_VOXEL_M))
     sweep = sel.threshold_sweep(cleaned, ["scene_id"], k.DENSITY_LADDER, lambda least: F.col("density") >= least)
     return cleaned, sweep.select("scene_id", F.col("name").alias("level"), "n_kept", "n_total")
+
+
+@dataclass
+class Inputs:
+    """Tables an extraction reads; replies and masks come from outside."""
+    splats: DataFrame
+    hull_view: DataFrame
+    boxes: DataFrame                      # padded boxes with item and label
+    views: DataFrame
+    planes: DataFrame
+    wide_masks: DataFrame                 # mask indexes per view
+    tight_masks: DataFrame
+    view_boxes: DataFrame                 # views with a box
+    ids: list[str]
+    on: list[str] = field(default_factory=lambda: ["scene_id"])
+    item: str = "item_id"
+    wide_frac: float = k.WIDE_VOTE_FRAC
+    tight_frac: float = k.TIGHT_VOTE_FRAC
+    box_frac: float = k.BOX_VOTE_FRAC
+
+
+def _keep(df: DataFrame, kept: DataFrame, ids: list[str]) -> DataFrame:
+    return df.join(kept.select(*ids), ids, "left_semi")
+
+
+class Extraction:
+    """Steps of the routes; all objects of all scenes go through a step in one job.
+
+    A splat may belong to several hulls, but its votes only depend on the splat
+    and the views, so each vote runs once per splat and is joined to the hulls.
+    """
+
+    def __init__(self, given: Inputs):
+        self.g = given
+        self._votes: dict[str, DataFrame] = {}
+
+    def hull(self, routes: list[str]) -> DataFrame:
+        """Hull rows of the items whose label takes one of the routes."""
+        g = self.g
+        boxes = g.boxes.where(lb.procedure(F.col("label")).isin(routes))
+        return stage(hl.visual_hull(g.splats, g.hull_view, boxes, g.on, g.item))
+
+    def _points(self, df: DataFrame) -> DataFrame:
+        g = self.g
+        return df.select(*g.ids, *g.on, "x", "y", "z").distinct()
+
+    def mask_vote(self, df: DataFrame, masks: DataFrame, frac: float) -> DataFrame:
+        g = self.g
+        seen = vo.masked_views(g.views, masks, g.on)
+        voted = vo.mask_votes(self._points(df), seen, masks, g.on, g.ids)
+        return stage(_keep(df, vo.keep_mask_votes(voted, vo.view_counts(seen, g.on), g.on, frac), g.ids))
+
+    def wide(self, df: DataFrame) -> DataFrame:
+        return self.mask_vote(df, self.g.wide_masks, self.g.wide_frac)
+
+    def tight(self, df: DataFrame) -> DataFrame:
+        return self.mask_vote(df, self.g.tight_masks, self.g.tight_frac)
+
+    def floor(self, df: DataFrame) -> DataFrame:
+        return fl.floor_band_drop(df, self.g.planes)
+
+    def box(self, df: DataFrame) -> DataFrame:
+        g = self.g
+        voted = vo.box_votes(self._points(df), g.view_boxes, g.on, g.ids)
+        return stage(_keep(df, vo.keep_box_votes(voted, g.box_frac), g.ids))
+
+    def inside(self, df: DataFrame) -> DataFrame:
+        """Insideness, the guarded ladder of each object, and its strictest safe rung."""
+        g = self.g
+        keys = [*g.on, g.item]
+        seen = vo.masked_views(g.views, g.wide_masks, g.on)
+        score = vo.insideness(vo.mask_votes(self._points(df), seen, g.wide_masks, g.on, g.ids)).select(*g.ids, "insideness")
+        scored = stage(df.join(score, g.ids))
+        rungs = [(f"{t:.2f}", t) for t in k.SCORE_LADDER]
+        sweep = sel.threshold_sweep(scored, keys, rungs, lambda t: F.col("insideness") >= t)
+        sweep = sweep.withColumn("thresh", F.col("name").cast("double"))
+        labels = g.boxes.select(*keys, "label")
+        guard = stage(sel.collapse_guard(sel.ladder_by_label(sweep, labels, keys), keys))
+        pick = sel.rule_pick(guard, keys).join(guard.select(*keys, "rung", "thresh"), [*keys, "rung"])
+        out = scored.join(staged_small(pick.select(*keys, "thresh")), keys)
+        return out.where(F.col("insideness") >= F.col("thresh")).select(*df.columns)
+
+    def destreak(self, df: DataFrame, rung: int = 1) -> DataFrame:
+        _, scale, bright = k.STREAK_LADDER[rung]
+        return fl.destreak_colour(df, scale, bright)
+
+
+def extract_general(e: Extraction) -> DataFrame:
+    return e.destreak(e.inside(e.box(e.floor(e.tight(e.wide(e.hull(["general"])))))))
+
+
+def extract_bookshelf(e: Extraction) -> DataFrame:
+    """The general route without the floor step."""
+    return e.destreak(e.inside(e.box(e.tight(e.wide(e.hull(["bookshelf"]))))))
+
+
+def extract_table(e: Extraction) -> DataFrame:
+    return e.floor(e.wide(e.hull(["table"])))
+
+
+def extract_lamp(e: Extraction) -> DataFrame:
+    return e.destreak(e.box(e.wide(e.hull(["lamp"]))))
+
+
+def extract_tv(e: Extraction, frac: float = k.TV_VOTE_FRAC) -> DataFrame:
+    """Rounded projection votes on the hull of each screen."""
+    from ..functions import geometry as geo
+    g = e.g
+    df = e.hull(["tv"])
+    seen = vo.masked_views(g.views, g.wide_masks, g.on)
+    voted = vo.mask_votes(e._points(df), seen, g.wide_masks, g.on, g.ids, geo.project_round)
+    return _keep(df, vo.keep_mask_votes(voted, vo.view_counts(seen, g.on), g.on, frac, need_visible=False), g.ids)
+
+
+def extract_rug(seen: DataFrame, box_test: Column, siblings: DataFrame, keys: list[str], obj: str, ids: list[str]) -> DataFrame:
+    band = stage(fl.rug_band(seen, keys, box_test))
+    return sp.sibling_subtract(band, siblings, keys, obj, ids, k.SIBLING_RADIUS_M)
+
+
+def extract_art(hull: DataFrame, view_boxes: DataFrame, eyes: DataFrame, on: list[str], item: str, ids: list[str]) -> DataFrame:
+    """Box votes on the hull, then the slab around the piece's own plane."""
+    hull = stage(hull)
+    voted = vo.box_votes(hull.select(*ids, *on, "x", "y", "z").distinct(), view_boxes, on, ids, in_image=False)
+    kept = stage(_keep(hull, vo.keep_art_votes(voted), ids))
+    return fl.wall_slab(kept, [item], fl.pca_normals(kept, [item], eyes))
+
+
+def finalise_scene(splats: DataFrame, stage_splats: DataFrame, ids: list[str], scene: list[str], obj: str) -> DataFrame:
+    """Parents, subtraction of children, background and the reassembled counts."""
+    boxes = stage(fr.robust_aabb(splats, [*scene, obj]))
+    links = stage(hi.parent_child(boxes, scene, obj))
+    carved, _ = hi.child_aabb_subtract(splats, fr.tight_aabb(splats, [*scene, obj]), links, scene, obj, ids)
+    whole = splats.join(staged_small(links.select(*scene, F.col("parent").alias(obj)).distinct()), [*scene, obj], "left_anti")
+    objects = stage(whole.unionByName(carved))
+    background = stage(sp.exact_anti(splats, stage_splats, scene))
+    merged = inv.merge_scene(background, objects)
+    return inv.reassembly_check(background, objects, merged, scene)
