@@ -454,7 +454,7 @@ def first_label_match(spark, sf):
 def sort_by_area(spark, sf):
     it = table(spark, sf, "items").withColumn("area", (F.col("bx1") - F.col("bx0")) * (F.col("by1") - F.col("by0")))
     it = it.withColumn("_o", -F.col("area") * 10_000_000_000 + F.col("item_id"))
-    return rk.grouped_row_number(it, S, "_o", "position", chunk=10_000_000_000_000).select("scene_id", "item_id", "area", "position")
+    return rk.grouped_row_number(it, S, "_o", "position").select("scene_id", "item_id", "area", "position")
 
 
 @query("view_limit", oracle(["splats"], f"SELECT {OK2}, pk FROM (SELECT *, row_number() OVER (PARTITION BY {OK2} ORDER BY pk) AS r FROM (SELECT DISTINCT {OK2}, pk FROM splats) AS d) AS q WHERE r <= 4"))

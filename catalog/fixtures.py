@@ -74,9 +74,10 @@ SELECT o_custkey % 4 AS scene_id, CAST(o_orderkey % 8 AS INT) AS view_id,
        CAST(o_orderkey % 3 AS INT) AS prompt_id, CAST(o_custkey % 3 AS INT) AS pass_id
 FROM orders""")
 
+# an item per block of 25 parts; k and k + 4 are near-duplicates in the same scene
 TEXTS["items"] = (["part"], f"""
-WITH a AS (SELECT p_partkey AS item_id, CAST(floor(p_partkey / 25) AS BIGINT) AS k
-           FROM part WHERE p_partkey % 25 = 0),
+WITH a AS (SELECT min(p_partkey) AS item_id, CAST(floor(p_partkey / 25) AS BIGINT) AS k
+           FROM part GROUP BY CAST(floor(p_partkey / 25) AS BIGINT)),
 b AS (SELECT item_id, k, k % 4 AS scene_id, CAST(floor(k / 8) AS BIGINT) % 16 AS li,
              k - CASE WHEN k % 8 >= 4 THEN 4 ELSE 0 END AS m FROM a)
 SELECT item_id, k, scene_id,

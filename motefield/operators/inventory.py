@@ -92,9 +92,9 @@ def reassembly_check(background: DataFrame, objects: DataFrame, merged: DataFram
 
 def object_listing(paths: DataFrame, path: str = "path") -> DataFrame:
     """Scene, object and stage of every stage file in a listing of paths."""
-    pat = r"([^/]+)/02_([^/]+)/([^/]+)\.ply$"
+    pat = r"([^/]+)/02_([^/]+)/([^/]+?)(?:\.part-\d+)?\.ply$"
     hit = paths.where(F.col(path).rlike(pat))
-    return hit.select(*[F.regexp_extract(path, pat, i).alias(n) for i, n in ((1, "scene"), (2, "slug"), (3, "stage"))])
+    return hit.select(*[F.regexp_extract(path, pat, i).alias(n) for i, n in ((1, "scene"), (2, "slug"), (3, "stage"))]).distinct()
 
 
 def rewrite_path(path: Column, old: Column, new: Column) -> Column:

@@ -25,10 +25,10 @@ _STEPS = 1500.0        # buckets per factor e above that
 def ordered_bucket(v: Column) -> Column:
     """Bucket number that never decreases as ``v`` grows; finer near zero, bounded overall.
 
-    asinh is linear around zero and logarithmic beyond, and its parts (square
-    root, sum, logarithm) are monotone in floating point as well.
+    log1p is linear around zero and logarithmic beyond, and monotone in floating
+    point as well.
     """
-    return F.floor(F.asinh(v * F.lit(_NEAR)) * F.lit(_STEPS))
+    return (F.signum(v) * F.floor(F.log1p(F.abs(v) * F.lit(_NEAR)) * F.lit(_STEPS))).cast("bigint")
 
 
 def percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
