@@ -20,13 +20,12 @@ from motefield.operators import votes as vo
 from motefield.staging import stage
 
 from .cleaning import MAXS, OBJ, _BRIGHT, _S2, lg
-from .fixtures import oracle, pct, table
+from .fixtures import mean, oracle, pct, table
 from .joins import (BOX_CTE, PART_CTE, S, _SCORE, _SUB, part_links, parts, resolve_cte, runs, scored, stage_splats, view_boxes,
                     views)
 from .registry import query
 from .rows import H, ID, KEY, PX_CTE, W, _CENTRE, _P298, _TAN35, pixel_items, proj, splats
 
-MEAN = "CAST(sum(CAST({} AS DECIMAL(20, 10))) AS DOUBLE) / count(*)"
 OK2 = "scene_id, object_id"
 
 
@@ -126,7 +125,7 @@ _T175, _T12 = _lit(math.tan(math.radians(17.5))), _lit(math.tan(math.radians(12.
 
 
 @query("front_camera", oracle(["splats"], f"SELECT {OK2}, {r6sql(_TOP)} FROM c", _P298 + f""",
-  rm AS (SELECT scene_id, {MEAN.format('x')} AS rx, {MEAN.format('z')} AS rz FROM splats GROUP BY scene_id),
+  rm AS (SELECT scene_id, {mean('x')} AS rx, {mean('z')} AS rz FROM splats GROUP BY scene_id),
   f0 AS (SELECT *, (lx + hx) / 2 AS tx, (ly + hy) / 2 AS ty, (lz + hz) / 2 AS tz FROM pp JOIN rm USING (scene_id)),
   f1 AS (SELECT *, tx - rx AS ax, tz - rz AS az, greatest(sqrt((hx - lx) * (hx - lx) + (hz - lz) * (hz - lz)) / (1920 / 1080e0), abs(hy - ly)) * 2.6e0 / (2 * {_T175}) AS distance FROM f0),
   f2 AS (SELECT *, ax / sqrt(ax * ax + az * az) AS dx, az / sqrt(ax * ax + az * az) AS dz FROM f1),
@@ -152,7 +151,7 @@ def axis_assert(spark, sf):
 
 
 _RB = pct("bp", "splats", "scene_id", [(f"{a}b_{n}", a, p) for a in "xz" for n, p in (("min", 15.0), ("max", 85.0))]) + f""",
-  rbd AS (SELECT *, (xb_min + xb_max) / 2 AS cx, (zb_min + zb_max) / 2 AS cz, cy - 1.0e0 AS eye_y FROM bp JOIN (SELECT scene_id, {MEAN.format('y')} AS cy FROM splats GROUP BY scene_id) AS m USING (scene_id))"""
+  rbd AS (SELECT *, (xb_min + xb_max) / 2 AS cx, (zb_min + zb_max) / 2 AS cz, cy - 1.0e0 AS eye_y FROM bp JOIN (SELECT scene_id, {mean('y')} AS cy FROM splats GROUP BY scene_id) AS m USING (scene_id))"""
 
 
 @query("room_bounds", oracle(["splats"], "SELECT scene_id, xb_min, xb_max, zb_min, zb_max, cy, cx, cz, eye_y FROM rbd", _RB))
@@ -388,7 +387,7 @@ def stage_counts(spark, sf):
     return stage_splats(spark, sf).groupBy(*OBJ, "stage").agg(F.count("*").alias("n_splats"))
 
 
-@query("point_raster", oracle(["splats", "views"], "SELECT scene_id, view_id, xi AS px, yi AS py, count(*) AS n, " + ", ".join(f"{MEAN.format(f'f_dc_{i}')} AS mean_f_dc_{i}" for i in range(3)) + ", min(depth) AS near_depth FROM idx WHERE in_img GROUP BY scene_id, view_id, xi, yi", proj("cam", "idx0", "idx")))
+@query("point_raster", oracle(["splats", "views"], "SELECT scene_id, view_id, xi AS px, yi AS py, count(*) AS n, " + ", ".join(f"{mean(f'f_dc_{i}')} AS mean_f_dc_{i}" for i in range(3)) + ", min(depth) AS near_depth FROM idx WHERE in_img GROUP BY scene_id, view_id, xi, yi", proj("cam", "idx0", "idx")))
 def point_raster(spark, sf):
     return ft.point_raster(splats(spark, sf), views(spark, sf), S)
 

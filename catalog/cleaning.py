@@ -11,9 +11,9 @@ from motefield.operators import frames as fr
 from motefield.operators import hulls as hl
 from motefield.operators import voxels as vx
 
-from .fixtures import oracle, pct, table
+from .fixtures import mean, oracle, pct, table
 from .registry import query
-from .rows import (BOUNDS_CTE, H, ID, KEY, PX_CTE, QUAD_CTE, W, _BRIGHT, _PLANE_CTE, like_any, pixel_items, proj,
+from .rows import (BOUNDS_CTE, H, ID, KEY, PX_CTE, QUAD_CTE, W, _BRIGHT, _PLANE_CTE, like_any, parquet_splats, pixel_items, proj,
                    splats, vox)
 
 LOG = __import__("math").log
@@ -47,7 +47,7 @@ def voxcount_cte(name, source, size, keys="scene_id"):
 
 
 def colour_cte(name, source, size=0.2):
-    means = ", ".join(f"CAST(sum(CAST(f_dc_{i} AS DECIMAL(20, 10))) AS DOUBLE) / count(*) AS m{i}" for i in range(3))
+    means = ", ".join(f"{mean(f'f_dc_{i}')} AS m{i}" for i in range(3))
     sq = " + ".join(f"(f_dc_{i} - m{i}) * (f_dc_{i} - m{i})" for i in range(3))
     return (f"{name}_v AS (SELECT *, {vox(size)} FROM {source}), "
             f"{name}_m AS (SELECT scene_id, vx, vy, vz, {means} FROM {name}_v GROUP BY scene_id, vx, vy, vz), "
@@ -121,7 +121,7 @@ CHAIN_CTE = ", ".join([
 
 @query("slice_chain", oracle(["splats", "planes"], f"SELECT {ID} FROM s7", CHAIN_CTE))
 def slice_chain(spark, sf):
-    return ids(fl.slice_chain(splats(spark, sf), planes(spark, sf)))
+    return ids(fl.slice_chain(parquet_splats(spark, sf), planes(spark, sf)))
 
 
 @query("clean_scenes", oracle(["splats", "planes"], """SELECT scene_id, level, count(*) FILTER (WHERE density >= least) AS n_kept, count(*) AS n_total
@@ -129,7 +129,7 @@ def slice_chain(spark, sf):
        CHAIN_CTE + ", " + voxcount_cte("cd", "s7", 0.1)))
 def clean_scenes(spark, sf):
     from motefield.plans.scenes import clean_scenes as plan
-    return plan(splats(spark, sf), planes(spark, sf))[1]
+    return plan(parquet_splats(spark, sf), planes(spark, sf))[1]
 
 
 @query("cardinal_strip", oracle(["splats", "planes"], f"SELECT {ID} FROM vc WHERE density >= 15", pct("cp", "splats", "scene_id", [("cut", "y", 40.0)])

@@ -183,3 +183,11 @@ def pct(name: str, source: str, keys: str, want: list[tuple[str, str, float]]) -
     joins = f"{name}_a0" + "".join(f" JOIN {name}_a{i} USING ({keys})" for i in range(1, len(exprs)))
     ctes.append(f"{name} AS (SELECT {keys}, {', '.join(out)} FROM {joins})")
     return ", ".join(ctes)
+
+
+def mean(v: str) -> str:
+    """Order-independent mean: integer sums of the whole and of two 20-bit parts."""
+    rest = f"(({v} - floor({v})) * 1048576e0)"
+    low = f"(({rest} - floor({rest})) * 1048576e0)"
+    whole, first, second = [f"CAST(sum(CAST(floor({x}) AS BIGINT)) AS DOUBLE)" for x in (v, rest, low)]
+    return f"(({whole} + ({first} + {second} / 1048576e0) / 1048576e0) / count(*))"

@@ -18,7 +18,7 @@ from motefield.operators import spatial as sp
 from motefield.operators import votes as vo
 
 from .cleaning import OBJ, RUG_CTE, _S2, rug
-from .fixtures import oracle, pct, table
+from .fixtures import mean, oracle, pct, table
 from .registry import query
 from .rows import H, ID, KEY, PX_CTE, QUAD_CTE, W, pad_cte, pixel_items, proj, splats
 
@@ -121,10 +121,10 @@ def runs(spark, sf):
     return table(spark, sf, "mask_runs")
 
 
-def voted(spark, sf, how=g.project_index):
+def voted(spark, sf, rule="index"):
     index = vo.mask_index(runs(spark, sf), ["scene_id", "view_id"])
     mv = vo.masked_views(views(spark, sf), index, S)
-    return vo.mask_votes(splats(spark, sf), mv, index, S, KEY, how), vo.view_counts(mv, S)
+    return vo.mask_votes(splats(spark, sf), mv, index, S, KEY, rule), vo.view_counts(mv, S)
 
 
 @query("mask_vote", oracle(["splats", "views", "mask_runs"], f"SELECT {ID}, votes, visible FROM vt WHERE votes >= 5 AND visible >= 5", VOTE_CTE))
@@ -140,7 +140,7 @@ _RND = proj("cam", "flt", "rnd0", "rnd") + f""", tv AS (SELECT {ID},
 
 @query("tv_vote", oracle(["splats", "views", "mask_runs"], f"SELECT {ID}, votes FROM tv WHERE votes >= 4", _RND))
 def tv_vote(spark, sf):
-    v, n = voted(spark, sf, g.project_round)
+    v, n = voted(spark, sf, "round")
     return vo.keep_mask_votes(v, n, S, k.TV_VOTE_FRAC, need_visible=False).select(*KEY, "votes")
 
 
@@ -281,9 +281,9 @@ def resolve_cte(name, order, source="stages"):
             f"WHERE stage IN ({inside}) GROUP BY scene_id, object_id)")
 
 
-SIB_CTE = RUG_CTE + ", " + resolve_cte("lt", k.RUG_SIBLING_STAGES) + """,
+SIB_CTE = RUG_CTE + ", " + resolve_cte("lt", k.RUG_SIBLING_STAGES) + f""",
   sib AS (SELECT s.* FROM stage_splats AS s JOIN lt USING (scene_id, object_id, stage)),
-  mid AS (SELECT scene_id, object_id, CAST(sum(CAST(x AS DECIMAL(20, 10))) AS DOUBLE) / count(*) AS mx, CAST(sum(CAST(z AS DECIMAL(20, 10))) AS DOUBLE) / count(*) AS mz
+  mid AS (SELECT scene_id, object_id, {mean('x')} AS mx, {mean('z')} AS mz
     FROM sib GROUP BY scene_id, object_id),
   area AS (SELECT scene_id, min(x) AS xl, max(x) AS xh, min(z) AS zl, max(z) AS zh FROM rug GROUP BY scene_id),
   onrug AS (SELECT scene_id, object_id FROM mid JOIN area USING (scene_id) WHERE mx BETWEEN xl AND xh AND mz BETWEEN zl AND zh),

@@ -27,6 +27,12 @@ def splats(spark, sf):
     return table(spark, sf, "splats")
 
 
+def parquet_splats(spark, sf):
+    """The splats as a Parquet table, for jobs that pass over them many times."""
+    from motefield.staging import stage
+    return stage(splats(spark, sf))
+
+
 @query("linear_scale", oracle(["splats"], f"""SELECT {ID}, round(exp(scale_0), 6) AS sx, round(exp(scale_1), 6) AS sy,
   round(exp(scale_2), 6) AS sz, round(exp(greatest(scale_0, scale_1, scale_2)), 6) AS max_scale,
   round(exp(least(scale_0, scale_1, scale_2)), 6) AS min_scale FROM splats"""))
@@ -296,18 +302,17 @@ def proj(*names):
     return ", ".join(f"{n} AS ({PROJ[n]})" for n in names)
 
 
-def projected(spark, sf, how):
+def projected(spark, sf, rule):
+    from motefield.operators.projection import project
     from motefield.staging import small
-    df = splats(spark, sf).join(small(table(spark, sf, "views")), "scene_id")
-    return df, how(*g.cols("x", "y", "z"))
+    return project(splats(spark, sf).join(small(table(spark, sf, "views")), "scene_id"), rule)
 
 
 @query("project_float", oracle(["splats", "views"], """SELECT scene_id, object_id, view_id, count(*) AS n,
   count(*) FILTER (WHERE front) AS n_front, min(u) AS u_min, max(u) AS u_max, min(v) AS v_min, max(v) AS v_max
   FROM flt GROUP BY scene_id, object_id, view_id""", proj("cam", "flt")))
 def project_float(spark, sf):
-    df, (u, v, front) = projected(spark, sf, g.project_float)
-    return (df.withColumns({"u": u, "v": v, "front": front}).groupBy("scene_id", "object_id", "view_id")
+    return (projected(spark, sf, "float").groupBy("scene_id", "object_id", "view_id")
             .agg(F.count("*").alias("n"), F.count_if("front").alias("n_front"), F.min("u").alias("u_min"),
                  F.max("u").alias("u_max"), F.min("v").alias("v_min"), F.max("v").alias("v_max")))
 
@@ -316,21 +321,21 @@ _PIX = """SELECT scene_id, object_id, view_id, count(*) AS n, count(*) FILTER (W
   CAST(sum(xi) AS BIGINT) AS sum_x, CAST(sum(yi) AS BIGINT) AS sum_y, CAST(sum(xi * yi) AS BIGINT) AS sum_xy FROM {} GROUP BY scene_id, object_id, view_id"""
 
 
-def _pixels(spark, sf, how):
-    df, (xi, yi, inside) = projected(spark, sf, how)
-    return (df.withColumns({"xi": xi, "yi": yi, "in_img": inside}).groupBy("scene_id", "object_id", "view_id")
-            .agg(F.count("*").alias("n"), F.count_if("in_img").alias("n_in"), F.sum("xi").alias("sum_x"),
-                 F.sum("yi").alias("sum_y"), F.sum(F.col("xi") * F.col("yi")).alias("sum_xy")))
+def _pixels(spark, sf, rule):
+    x, y = F.col("px"), F.col("py")
+    return (projected(spark, sf, rule).groupBy("scene_id", "object_id", "view_id")
+            .agg(F.count("*").alias("n"), F.count_if("inside").alias("n_in"), F.sum(x).alias("sum_x"),
+                 F.sum(y).alias("sum_y"), F.sum(x * y).alias("sum_xy")))
 
 
 @query("project_index", oracle(["splats", "views"], _PIX.format("idx"), proj("cam", "idx0", "idx")))
 def project_index(spark, sf):
-    return _pixels(spark, sf, g.project_index)
+    return _pixels(spark, sf, "index")
 
 
 @query("project_round", oracle(["splats", "views"], _PIX.format("rnd"), proj("cam", "flt", "rnd0", "rnd")))
 def project_round(spark, sf):
-    return _pixels(spark, sf, g.project_round)
+    return _pixels(spark, sf, "round")
 
 
 BOUNDS_CTE = pct("bp", "splats", "scene_id", [(f"{o}{a}", a, p) for a in "xz" for o, p in (("l", 15.0), ("h", 85.0))]) + """,

@@ -15,7 +15,8 @@ from pyspark.sql import SparkSession
 def make_session():
     return (SparkSession.builder.master("local[8]").appName("check")
             .config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g")
-            .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+            .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+            .config("spark.sql.files.openCostInBytes", "65536").config("spark.sql.session.timeZone", "UTC")
             .getOrCreate())
 
 

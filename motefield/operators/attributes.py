@@ -57,8 +57,8 @@ def normals(df: DataFrame) -> DataFrame:
 
 def plane_columns(df: DataFrame, planes: DataFrame) -> DataFrame:
     """Signed distance to the scene's floor and alignment of the splat with it."""
-    from ..staging import small
-    return df.join(small(planes), "scene_id").withColumns({"sd": g.plane_distance(), "align": g.plane_alignment()})
+    from ..staging import computed, small
+    return computed(df.join(small(planes), "scene_id"), {"sd": g.plane_distance(), "align": g.plane_alignment()})
 
 
 def to_y_down(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..staging import small, stage, staged_small
+from .projection import project
 from .ranking import sample_per_group, top_rows
 from .voxels import exact_mean
 
@@ -16,12 +17,9 @@ from .voxels import exact_mean
 def point_raster(df: DataFrame, views: DataFrame, on: list[str]) -> DataFrame:
     """Per pixel: splat count, mean f_dc and nearest depth."""
     cams = views.select(*on, "view_id", "f", "w", "h", *[f"r{i}{j}" for i in range(3) for j in range(3)], "t0", "t1", "t2")
-    pts = df.join(small(cams), on)
-    xi, yi, inside = g.project_index(*g.cols("x", "y", "z"))
-    depth = -g.camera_space(*g.cols("x", "y", "z"))[2]
-    pts = pts.withColumns({"px": xi, "py": yi, "_in": inside, "_depth": depth}).where("_in")
+    pts = project(df.join(small(cams), on), "index").where("inside")
     return pts.groupBy(*on, "view_id", "px", "py").agg(
-        F.count("*").alias("n"), *[exact_mean(c).alias(f"mean_{c}") for c in g.DC], F.min("_depth").alias("near_depth"))
+        F.count("*").alias("n"), *[exact_mean(c).alias(f"mean_{c}") for c in g.DC], F.min("depth").alias("near_depth"))
 
 
 def floor_cells(df: DataFrame, keys: list[str], size: float) -> DataFrame:

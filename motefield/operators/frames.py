@@ -11,6 +11,7 @@ from .. import constants as k
 from ..functions import geometry as g
 from ..staging import small, staged_small
 from .quantiles import axis_percentiles, percentiles
+from .voxels import exact_mean
 
 
 def _spread(hi: str, lo: str) -> dict[str, Column]:
@@ -172,7 +173,7 @@ def front_camera(df: DataFrame, keys: list[str], yaw_deg: float = 0.0, orbit_m:
     """View of each object from the room's middle, slightly raised."""
     p = axis_percentiles(df, keys, [2.0, 98.0])
     room = staged_small(df.groupBy(keys[0]).agg(
-        *[(F.sum(F.col(a).cast("decimal(20,10)")).cast("double") / F.count("*")).alias(f"room_{a}") for a in "xz"]))
+        *[exact_mean(a).alias(f"room_{a}") for a in "xz"]))
     out = p.join(room, keys[0]).withColumns({
         **{f"tgt_{a}": (F.col(f"{a}_p2") + F.col(f"{a}_p98")) / 2 for a in "xyz"}, **_spread("p98", "p2")})
     diag = F.sqrt(F.col("span_x") * F.col("span_x") + F.col("span_z") * F.col("span_z"))
@@ -218,8 +219,7 @@ def room_bounds(df: DataFrame, keys: list[str]) -> DataFrame:
     """p15..p85 floor rectangle, its centre, the mean height and the eye height."""
     p = percentiles(df, keys, {a: F.col(a) for a in "xz"},
                     [("xb_min", "x", 15.0), ("xb_max", "x", 85.0), ("zb_min", "z", 15.0), ("zb_max", "z", 85.0)])
-    mean = df.groupBy(*keys).agg(
-        (F.sum(F.col("y").cast("decimal(20,10)")).cast("double") / F.count("*")).alias("cy"))
+    mean = df.groupBy(*keys).agg(exact_mean("y").alias("cy"))
     out = p.join(staged_small(mean), keys)
     return out.withColumns({"cx": (F.col("xb_min") + F.col("xb_max")) / 2, "cz": (F.col("zb_min") + F.col("zb_max")) / 2,
                             "eye_y": F.col("cy") - 1.0})

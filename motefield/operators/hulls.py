@@ -12,19 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import boxes as bx
-from ..functions import geometry as g
 from ..staging import small, staged_small
+from .projection import project
 
 TILE = 32
 
 
-def seen(df: DataFrame, views: DataFrame, on: list[str], how=g.project_float) -> DataFrame:
+def seen(df: DataFrame, views: DataFrame, on: list[str]) -> DataFrame:
     """Splats with their pixel ``u v`` and ``front`` in each view of their scene."""
     cam = [c for c in views.columns if c in on or c in
            {"view_id", "quadrant", "f", "w", "h", *[f"r{i}{j}" for i in range(3) for j in range(3)], "t0", "t1", "t2"}]
-    out = df.join(small(views.select(*cam)), on)
-    u, v, front = how(*g.cols("x", "y", "z"))
-    return out.withColumns({"u": u, "v": v, "front": front})
+    return project(df.join(small(views.select(*cam)), on), "float")
 
 
 def _tiles(boxes: DataFrame, on: list[str], extra: list[str]) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as k
 from ..functions import boxes as bx
-from ..functions import geometry as g
 from ..staging import small, stage, staged_small
 from .masks import merge_runs, pack_runs
+from .projection import project
 
 RUN_TILE = 64
 CAMERA = ["f", "w", "h", *[f"r{i}{j}" for i in range(3) for j in range(3)], "t0", "t1", "t2"]
@@ -31,10 +31,8 @@ def box_votes(df: DataFrame, views: DataFrame, on: list[str], ids: list[str], in
     """
     cams = views.select(*on, "view_id", *CAMERA, "x0", "y0", "x1", "y1")
     out = df.select(*ids, *on, "x", "y", "z").join(staged_small(cams), on, "left")
-    u, v, front = g.project_float(*g.cols("x", "y", "z"))
-    out = out.select(*ids, *on, "view_id", "w", "h", "x0", "y0", "x1", "y1", u.alias("_u"), v.alias("_v"), front.alias("_front"))
-    u, v = F.col("_u"), F.col("_v")
-    seen = F.col("_front")
+    out = project(out, "float")
+    u, v, seen = F.col("u"), F.col("v"), F.col("front")
     if in_image:
         seen = seen & (u >= 0) & (u < F.col("w")) & (v >= 0) & (v < F.col("h"))
     hit = seen & bx.contains(bx.box(), u, v)
@@ -59,7 +57,7 @@ def mask_index(runs: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def mask_votes(df: DataFrame, views: DataFrame, runs: DataFrame, on: list[str], ids: list[str],
-               how=g.project_index, extra: list[str] = []) -> DataFrame:
+               rule: str = "index", extra: list[str] = []) -> DataFrame:
     """Per splat: views that see it (``visible``) and whose mask covers it (``votes``).
 
     ``views`` holds the views to count; ``runs`` is a ``mask_index`` keyed by
@@ -68,11 +66,10 @@ def mask_votes(df: DataFrame, views: DataFrame, runs: DataFrame, on: list[str],
     so that they do not pile up on one task.
     """
     pts = df.select(*ids, *on, "x", "y", "z").join(small(views.select(*on, "view_id", *CAMERA, *extra)), on)
-    xi, yi, inside = how(*g.cols("x", "y", "z"))
     away = -1 - F.pmod(F.xxhash64(*ids), F.lit(1024)).cast("int")
-    pts = pts.select(*ids, *on, "view_id", *extra, inside.alias("_in"), F.when(inside, xi).alias("_x"),
-                     F.when(inside, yi).otherwise(away).alias("y"),
-                     F.when(inside, F.floor(xi / RUN_TILE).cast("int")).otherwise(-1).alias("tile"))
+    pts = project(pts, rule).select(
+        *ids, *on, "view_id", *extra, F.col("inside").alias("_in"), F.col("px").alias("_x"), F.coalesce("py", away).alias("y"),
+        F.coalesce(F.floor(F.col("px") / RUN_TILE).cast("int"), F.lit(-1)).alias("tile"))
     keys = [*on, "view_id", *extra, "y", "tile"]
     hit = pts.alias("p").join(small(runs).alias("r"), [
         *[F.col(f"p.{c}") == F.col(f"r.{c}") for c in keys],

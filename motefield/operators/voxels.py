@@ -18,9 +18,21 @@ def with_voxel_count(df: DataFrame, keys: list[str], size: float, name: str = "d
     return attach(v, counts, [*keys, *VOXEL], name).drop(*VOXEL)
 
 
-def exact_mean(c: str) -> Column:
-    """Mean that does not depend on the order of addition."""
-    return F.sum(F.col(c).cast("decimal(20,10)")).cast("double") / F.count("*")
+_PART = float(1 << 20)
+
+
+def exact_mean(c: str | Column) -> Column:
+    """Mean that does not depend on the order of addition.
+
+    Whole, first-20-bit and next-20-bit parts are summed as integers, so that a
+    second pass over the same rows sees the same thresholds.  The sums hold for
+    more than 10 ** 12 rows.
+    """
+    v = (F.col(c) if isinstance(c, str) else c).cast("double")
+    rest = (v - F.floor(v)) * _PART
+    low = (rest - F.floor(rest)) * _PART
+    whole, first, second = [F.sum(F.floor(x)).cast("double") for x in (v, rest, low)]
+    return (whole + (first + second / _PART) / _PART) / F.count("*")
 
 
 def with_colour_distance(df: DataFrame, keys: list[str], size: float, name: str = "colour_dist") -> DataFrame:

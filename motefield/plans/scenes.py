@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as k
 from ..functions import labels as lb
+from ..operators.attributes import plane_columns
 from ..operators import filters as fl
 from ..operators import frames as fr
 from ..operators import hierarchy as hi
@@ -18,7 +19,7 @@ from ..operators import selection as sel
 from ..operators import spatial as sp
 from ..operators import votes as vo
 from ..operators import voxels as vx
-from ..staging import small, stage, staged_small
+from ..staging import computed, stage, staged_small
 
 
 def clean_scenes(splats: DataFrame, planes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -56,17 +57,28 @@ class Extraction:
 
     A splat may belong to several hulls, but its votes only depend on the splat
     and the views, so each vote runs once per splat and is joined to the hulls.
+    Rows stay narrow on the way: ids, position, item, and what the floor and
+    streak tests say of the splat, taken once at the scan.  ``whole`` fetches the
+    other columns of the survivors.
     """
 
-    def __init__(self, given: Inputs):
+    def __init__(self, given: Inputs, streak_rung: int = 1):
         self.g = given
-        self._votes: dict[str, DataFrame] = {}
+        _, scale, bright = k.STREAK_LADDER[streak_rung]
+        marked = computed(plane_columns(given.splats, given.planes), {
+            "on_floor": fl.floor_drop_condition(), "streak": fl.dark_streak(scale, bright)})
+        self.points = marked.select(*given.ids, *given.on, "x", "y", "z", "on_floor", "streak")
 
     def hull(self, routes: list[str]) -> DataFrame:
         """Hull rows of the items whose label takes one of the routes."""
         g = self.g
         boxes = g.boxes.where(lb.procedure(F.col("label")).isin(routes))
-        return stage(hl.visual_hull(g.splats, g.hull_view, boxes, g.on, g.item))
+        return stage(hl.visual_hull(self.points, g.hull_view, boxes, g.on, g.item))
+
+    def whole(self, df: DataFrame) -> DataFrame:
+        """Extracted rows with every column of their splat."""
+        g = self.g
+        return g.splats.join(df.select(*g.ids, g.item), g.ids)
 
     def _points(self, df: DataFrame) -> DataFrame:
         g = self.g
@@ -85,7 +97,7 @@ class Extraction:
         return self.mask_vote(df, self.g.tight_masks, self.g.tight_frac)
 
     def floor(self, df: DataFrame) -> DataFrame:
-        return fl.floor_band_drop(df, self.g.planes)
+        return df.where(~F.col("on_floor"))
 
     def box(self, df: DataFrame) -> DataFrame:
         g = self.g
@@ -108,9 +120,8 @@ class Extraction:
         out = scored.join(staged_small(pick.select(*keys, "thresh")), keys)
         return out.where(F.col("insideness") >= F.col("thresh")).select(*df.columns)
 
-    def destreak(self, df: DataFrame, rung: int = 1) -> DataFrame:
-        _, scale, bright = k.STREAK_LADDER[rung]
-        return fl.destreak_colour(df, scale, bright)
+    def destreak(self, df: DataFrame) -> DataFrame:
+        return df.where(~F.col("streak"))
 
 
 def extract_general(e: Extraction) -> DataFrame:
@@ -132,11 +143,10 @@ def extract_lamp(e: Extraction) -> DataFrame:
 
 def extract_tv(e: Extraction, frac: float = k.TV_VOTE_FRAC) -> DataFrame:
     """Rounded projection votes on the hull of each screen."""
-    from ..functions import geometry as geo
     g = e.g
     df = e.hull(["tv"])
     seen = vo.masked_views(g.views, g.wide_masks, g.on)
-    voted = vo.mask_votes(e._points(df), seen, g.wide_masks, g.on, g.ids, geo.project_round)
+    voted = vo.mask_votes(e._points(df), seen, g.wide_masks, g.on, g.ids, "round")
     return _keep(df, vo.keep_mask_votes(voted, vo.view_counts(seen, g.on), g.on, frac, need_visible=False), g.ids)
 
 

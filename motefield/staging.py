@@ -66,6 +66,18 @@ def staged_small(df: DataFrame) -> DataFrame:
     return small(stage(df))
 
 
+def computed(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """``withColumns`` that is evaluated once per row.
+
+    Plain projections are merged into whatever reads them, so a long expression
+    used as a join key and in a join's residual test would run again for every
+    match, and a filter on it would be copied down to the scan.  A one-element
+    ``inline`` keeps it in place.
+    """
+    rest = [c for c in df.columns if c not in values]
+    return df.select(*rest, F.inline(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))))
+
+
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
