@@ -8,7 +8,8 @@ from motefield.operators import voxels as vx
 
 
 def plan(df):
-    return df._jdf.queryExecution().toString()
+    jvm = df.sparkSession.sparkContext._jvm
+    return jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
 def parquet(spark, path, n=300):
