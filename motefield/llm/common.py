@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..staging import size_in_bytes, stage
 
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
 MAX_BUCKETS = 1 << 20
 KEY_BITS = 40
