@@ -4,12 +4,14 @@ The incidence matrix has a row per document and a column per distinct n-gram (fi
 A-Z lower-cased; a shorter document has its whole sequence as its one column).  Two rows
 link when ``100 * overlap >= 75 * union``.
 
-1. Exact column sums (in how many documents an n-gram occurs) are counted in hash buckets.
-   The most frequent columns, at most ``ORDERED`` of them, are told to every task.  They
-   only set an order in which rare columns come first; results do not depend on it.
+1. Columns are ordered by their exact sums, rare ones first.  Columns that a thousandth of
+   all documents or more have are found first and told to every task (there are at most a
+   thousand times the mean row length of them); they come last and are never sent.  All
+   others meet in hash buckets, which answer each row with the columns it shares.
 2. A pair that links shares a column among the first ``n - ceil(3n/4) + 1`` of either row in
-   that order.  Each of these columns ties its rows together; the components of these
-   ties are the diagonal blocks outside which the product has no entry that links.
+   that order.  Columns of one document come first of all and tie nothing, so most rows have
+   no tie.  The rows of each remaining leading column are tied together; the components of
+   these ties are the diagonal blocks outside which the product has no entry that links.
 3. In a block, dense slabs of columns are multiplied and added up.  After each slab, pairs
    whose overlap cannot reach three sevenths of their sizes any more are discarded, rows
    without a live pair leave, and the product stops when none is left.  A block of many rows
@@ -38,11 +40,11 @@ from .common import KEY_BITS, Words, bucket_count, by_bucket, components, forest
 from .repeats import numbered
 
 N = 5
-ORDERED = 1 << 20        # columns whose place in the order is told to all tasks (12 MB)
-FREQUENT = 8
+COMMON = 1000            # a column is common if one in so many documents has it
+SEEN = 4                 # .. counting the slices in which so many documents have it
 TILE_ROWS = 256
 SLAB = 2048
-COUNT, ROW, TIE = 0, 1, 2
+ENTRY, ROW, REPLY, TIE, EDGE = 0, 1, 2, 3, 4
 _ROWS = "kind int, bucket int, a binary, b binary, c binary, d binary"
 _FIELDS = ["kind", "bucket", "a", "b", "c", "d"]
 
@@ -83,45 +85,125 @@ def _leaders(signature: np.ndarray, uid: np.ndarray) -> np.ndarray:
     return lead
 
 
-def _count(batches: Iterator[pa.RecordBatch], n: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows with sizes and signatures, and how often each column occurs in this slice."""
+def _often(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+    """Columns that several documents of a slice have, with their numbers."""
     for batch in slices(batches):
         uid = batch.column("uid").to_numpy()
         doc, keys, sizes = incidence(words_of(batch, lower=True), n)
-        signature = _signatures(doc, keys, sizes)
-        rows = [(ROW, int(uid[0] % buckets), pack(uid), pack(sizes), signature.tobytes(), b"")]
-        keys = np.sort(keys[_leaders(signature, uid)[doc]])
+        keys = np.sort(keys[_leaders(_signatures(doc, keys, sizes), uid)[doc]])
         starts, counts = runs(keys)
-        keys = keys[starts]
-        for bucket, key, src in by_bucket(keys, buckets):
-            rows.append((COUNT, bucket, pack_sorted(key), pack(counts[src]), b"", b""))
+        often = counts >= SEEN
+        yield pa.RecordBatch.from_arrays([pa.array(keys[starts][often].view(np.int64)), pa.array(counts[often])], names=["key", "n"])
+
+
+def _common(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the common columns, ascending, and their counts."""
+    documents = rows.count()
+    counts = rows.mapInArrow(lambda it: _often(it, n), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    table = counts.where(F.col("n") >= F.lit(max(64, documents // COMMON))).toArrow()
+    key, count = table.column("key").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    order = np.argsort(key)
+    return key[order], count[order]
+
+
+def _leading(sizes: np.ndarray) -> np.ndarray:
+    return sizes - (3 * sizes + 3) // 4 + 1
+
+
+def _tie_rows(keys: np.ndarray, ids: np.ndarray, buckets: int, home: int) -> list[tuple]:
+    """Rows that share one of these columns are tied here; one of them goes on to the bucket of the column."""
+    rows, ties = [], []
+    for bucket, key, src in by_bucket(keys, buckets):
+        starts, counts = runs(key)
+        least = np.minimum.reduceat(ids[src], starts)
+        tied = np.stack([np.repeat(least, counts), ids[src]], 1)
+        ties.append(tied[tied[:, 0] != tied[:, 1]])
+        rows.append((TIE, bucket, pack_sorted(key[starts]), pack(least), b"", b""))
+    if sum(map(len, ties)):
+        root, node = _forest_rows(np.concatenate(ties))
+        rows.append((EDGE, home, pack(root), pack(node), b"", b""))
+    return rows
+
+
+def _send(batches: Iterator[pa.RecordBatch], n: int, buckets: int, common) -> Iterator[pa.RecordBatch]:
+    """Rows with sizes and signatures; entries of their columns, by bucket; ties by common columns."""
+    known, sums = common.value
+    for batch in slices(batches):
+        uid = batch.column("uid").to_numpy()
+        home = int(uid[0] % buckets)
+        doc, keys, sizes = incidence(words_of(batch, lower=True), n)
+        signature = _signatures(doc, keys, sizes)
+        lead = _leaders(signature, uid)[doc]
+        doc, keys = doc[lead], keys[lead]
+        place = np.zeros(len(keys), np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            place = np.where(known[at] == keys, sums[at], 0)
+        often = place > 0
+        held = np.bincount(doc[often], minlength=len(sizes))
+        rows = []
+        of = uid % buckets
+        for bucket in np.unique(of):
+            at = np.flatnonzero(of == bucket)
+            rows.append((ROW, int(bucket), pack(uid[at]), pack(sizes[at]), signature[at].tobytes(), pack(held[at])))
+        for bucket, key, src in by_bucket(keys[~often], buckets):
+            rows.append((ENTRY, bucket, pack_sorted(key), pack(uid[doc[~often][src]]), b"", b""))
+        reach = _leading(sizes) - (sizes - held)
+        deep = often & (reach > 0)[doc]
+        if deep.any():
+            d, k = doc[deep], keys[deep]
+            order = np.lexsort((place[deep], d))
+            d, k = d[order], k[order]
+            starts, counts = runs(d)
+            first = np.arange(len(d)) - np.repeat(starts, counts) < reach[d]
+            rows += _tie_rows(k[first], uid[d[first]], buckets, home)
         yield _table(rows)
 
 
-def _frequent(table: pa.Table) -> pa.Table:
-    """Columns of one bucket that at least ``FREQUENT`` documents have, and its rows as they came."""
+def _reply(table: pa.Table, buckets: int) -> pa.Table:
+    """Columns of one bucket that several rows have: each of the rows learns how many."""
     kind = table.column("kind").to_numpy()
-    rows = table.filter(pa.array(kind == ROW))
-    counts = table.filter(pa.array(kind == COUNT))
-    out = [rows]
-    if counts.num_rows:
-        bucket = counts.column("bucket")[0].as_py()
-        key, count = joined(counts.column("a"), unpack_sorted)[0], joined(counts.column("b"), unpack)[0]
+    out = [table.filter(pa.array(kind != ENTRY))]
+    entries = table.filter(pa.array(kind == ENTRY))
+    if entries.num_rows:
+        bucket = entries.column("bucket")[0].as_py()
+        key, uid = joined(entries.column("a"), unpack_sorted)[0], joined(entries.column("b"), unpack)[0]
         order = np.argsort(key, kind="stable")
-        starts, _ = runs(key[order])
-        total = np.add.reduceat(count[order], starts)
-        often = total >= FREQUENT
-        if often.any():
-            key = key[order][starts][often]
-            out.append(pa.Table.from_batches([_table([(COUNT, bucket, pack_sorted(key), pack(total[often]), b"", b"")])]))
+        key, uid = key[order], uid[order]
+        sizes = runs(key)[1]
+        counts = np.repeat(sizes, sizes)
+        shared = counts > 1
+        key, uid, counts = key[shared] | (bucket << KEY_BITS), uid[shared], counts[shared]
+        of = uid % buckets
+        order = np.argsort(of, kind="stable")
+        rows = []
+        for s, c in zip(*runs(of[order])):
+            at = order[s:s + c]
+            rows.append((REPLY, int(of[at[0]]), pack(uid[at]), pack(key[at]), pack(counts[at]), b""))
+        out.append(pa.Table.from_batches([_table(rows)]))
     return pa.concat_tables([t.select(_FIELDS).cast(out[0].schema) for t in out])
 
 
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        key, row = joined(batch.column("a"), unpack_sorted)
-        bucket = batch.column("bucket").to_numpy().astype(np.int64)[row]
-        yield pa.RecordBatch.from_arrays([pa.array(bucket << KEY_BITS | key), pa.array(joined(batch.column("b"), unpack)[0])], names=["key", "n"])
+def _lead(table: pa.Table, buckets: int) -> pa.Table:
+    """The leading columns of the rows of one bucket of rows, as ties by bucket of columns."""
+    kind = table.column("kind").to_numpy()
+    out = [table.filter(pa.array(kind != REPLY))]
+    rows, replies = table.filter(pa.array(kind == ROW)), table.filter(pa.array(kind == REPLY))
+    if replies.num_rows:
+        home = replies.column("bucket")[0].as_py()
+        ids, sizes, held = (joined(rows.column(c), unpack)[0] for c in ("a", "b", "d"))
+        order = np.argsort(ids)
+        ids, sizes, held = ids[order], sizes[order], held[order]
+        uid, key, count = (joined(replies.column(c), unpack)[0] for c in ("a", "b", "c"))
+        order = np.lexsort((key, count, uid))
+        uid, key = uid[order], key[order]
+        starts, shared = runs(uid)
+        at = np.searchsorted(ids, uid[starts])
+        reach = _leading(sizes[at]) - (sizes[at] - held[at] - shared)
+        first = np.arange(len(uid)) - np.repeat(starts, shared) < np.repeat(reach, shared)
+        if first.any():
+            out.append(pa.Table.from_batches([_table(_tie_rows(key[first].astype(np.uint64), uid[first], buckets, home))]))
+    return pa.concat_tables([t.select(_FIELDS).cast(out[0].schema) for t in out])
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,73 +213,21 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array(joined(batch.column("c"), lambda b: np.frombuffer(b, np.int64))[0])], names=["uid", "n", "signature"])
 
 
-def _order(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the most frequent columns, ascending, with their sums: whole powers of two of the sum, ``ORDERED`` at most."""
-    levels = sorted(counts.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count("*").alias("c")).collect(), reverse=True)
-    least, total = 62, 0
-    for level, c in levels:
-        if total + c > ORDERED:
-            break
-        least, total = level, total + c
-    table = counts.where(F.col("n") >= F.lit(2 ** least)).toArrow()
-    key, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-    order = np.argsort(key)
-    return key[order], n[order]
-
-
-def _ties(batches: Iterator[pa.RecordBatch], n: int, buckets: int, order) -> Iterator[pa.RecordBatch]:
-    """The leading columns of each row; rows of this slice that share one are tied here."""
-    known, sums = order.value
-    for batch in slices(batches):
-        uid = batch.column("uid").to_numpy()
-        doc, keys, sizes = incidence(words_of(batch, lower=True), n)
-        if not len(doc):
-            continue
-        mixed = (((keys >> np.uint64(KEY_BITS)) % np.uint64(buckets) << np.uint64(KEY_BITS)) | (keys & np.uint64((1 << KEY_BITS) - 1))).astype(np.int64)
-        place = np.zeros(len(keys), np.int64)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, mixed), len(known) - 1)
-            place = np.where(known[at] == mixed, sums[at], 0)
-        rank = np.lexsort((place, doc))                      # hashes ascend within equal places
-        first = np.append(0, np.cumsum(sizes))[:-1]
-        lead = np.arange(len(doc)) - first[doc] < (sizes - (3 * sizes + 3) // 4 + 1)[doc]
-        lead &= _leaders(_signatures(doc, keys, sizes), uid)[doc]
-        keys, doc = keys[rank][lead], doc[lead]              # doc ascends, so it is the same in rank order
-        rows, ties = [], []
-        for bucket, key, src in by_bucket(keys, buckets):
-            ids = uid[doc[src]]
-            starts, counts = runs(key)
-            least = np.minimum.reduceat(ids, starts)
-            tied = np.stack([np.repeat(least, counts), ids], 1)
-            ties.append(tied[tied[:, 0] != tied[:, 1]])
-            rows.append((COUNT, bucket, pack_sorted(key[starts]), pack(least), b"", b""))
-        if sum(map(len, ties)):
-            root, node = _forest_rows(np.concatenate(ties))
-            rows.append((TIE, int(uid[0] % buckets), pack(root), pack(node), b"", b""))
-        yield _table(rows)
-
-
 def _forest_rows(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     node, root = forest(pairs[:, 0], pairs[:, 1])
     return root[node != root], node[node != root]
 
 
 def _tie(table: pa.Table) -> pa.Table:
-    """Ties of one bucket: rows that share a column, as a forest."""
-    kind = table.column("kind").to_numpy()
-    out = [table.filter(pa.array(kind == TIE))]
-    entries = table.filter(pa.array(kind == COUNT))
-    if entries.num_rows:
-        key, ids = joined(entries.column("a"), unpack_sorted)[0], joined(entries.column("b"), unpack)[0]
-        order = np.argsort(key, kind="stable")
-        ids = ids[order]
-        starts, counts = runs(key[order])
-        tied = np.stack([np.repeat(np.minimum.reduceat(ids, starts), counts), ids], 1)
-        tied = tied[tied[:, 0] != tied[:, 1]]
-        if len(tied):
-            root, node = _forest_rows(tied)
-            out.append(pa.Table.from_batches([_table([(TIE, 0, pack(root), pack(node), b"", b"")])]))
-    return pa.concat_tables([t.select(_FIELDS).cast(out[0].schema) for t in out])
+    """Ties of one bucket of columns: rows that share one, as a forest."""
+    key, ids = joined(table.column("a"), unpack_sorted)[0], joined(table.column("b"), unpack)[0]
+    order = np.argsort(key, kind="stable")
+    ids = ids[order]
+    starts, counts = runs(key[order])
+    tied = np.stack([np.repeat(np.minimum.reduceat(ids, starts), counts), ids], 1)
+    tied = tied[tied[:, 0] != tied[:, 1]]
+    root, node = _forest_rows(tied) if len(tied) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return pa.table({"u": pa.array(root), "v": pa.array(node)})
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,12 +325,13 @@ def near_groups(docs: DataFrame, n: int = N, tile_rows: int = TILE_ROWS) -> Data
     docs = docs.select("__uid", F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = bucket_count(docs)
     rows = docs.select(F.col("__uid").alias("uid"), "text")
-    counted = stage(rows.mapInArrow(lambda it: _count(it, n, buckets), _ROWS).groupBy("bucket").applyInArrow(_frequent, _ROWS))
-    sizes = stage(counted.where(F.col("kind") == ROW).select("a", "b", "c").mapInArrow(_rows, "uid long, n long, signature long"))
-    order = spark.sparkContext.broadcast(_order(counted.where(F.col("kind") == COUNT).select("bucket", "a", "b").mapInArrow(_listed, "key long, n long")))
-
-    ties = (rows.mapInArrow(lambda it: _ties(it, n, buckets, order), _ROWS).groupBy("bucket").applyInArrow(_tie, _ROWS)
-            .select("a", "b").mapInArrow(_edges, "u long, v long"))
+    common = spark.sparkContext.broadcast(_common(rows, n))
+    sent = stage(rows.mapInArrow(lambda it: _send(it, n, buckets, common), _ROWS)
+                 .groupBy("bucket").applyInArrow(lambda t: _reply(t, buckets), _ROWS)
+                 .groupBy("bucket").applyInArrow(lambda t: _lead(t, buckets), _ROWS))
+    sizes = stage(sent.where(F.col("kind") == ROW).select("a", "b", "c").mapInArrow(_rows, "uid long, n long, signature long"))
+    ties = (sent.where(F.col("kind") == TIE).groupBy("bucket").applyInArrow(_tie, "u long, v long")
+            .unionByName(sent.where(F.col("kind") == EDGE).select("a", "b").mapInArrow(_edges, "u long, v long")))
     first = sizes.where("n > 0").groupBy("signature", "n").agg(F.min("uid").alias("u"), F.count("*").alias("copies")).where("copies > 1")
     copies = stage(sizes.join(first, ["signature", "n"]).where("uid <> u").select("u", F.col("uid").alias("v")))
     blocks = components(ties.unionByName(copies))

@@ -49,13 +49,13 @@ def op2(spark, sf_dir):
     c as (select doc_id, n, bit_xor(hash(g)) h, min(g) lo, max(g) hi from s join n using (doc_id) group by doc_id, n),
     lead as (select n, h, lo, hi, min(doc_id) rep from c group by n, h, lo, hi),
     rep as (select c.doc_id, rep from c join lead using (n, h, lo, hi)),
-    few as (select g from s join rep using (doc_id) where doc_id = rep group by g having count(*) between 2 and 400),
+    few as (select g from s join rep using (doc_id) where doc_id = rep group by g having count(*) > 1),
     o as (select a.doc_id x, b.doc_id y, count(*) o from s a join few using (g) join rep ra on ra.doc_id = a.doc_id and ra.rep = a.doc_id
           join s b using (g) join rep rb on rb.doc_id = b.doc_id and rb.rep = b.doc_id where a.doc_id < b.doc_id group by 1, 2),
     links as (select x, y from o join n a on a.doc_id = x join n b on b.doc_id = y where 100 * o >= 75 * (a.n + b.n - o)
               union select rep, doc_id from rep where rep <> doc_id),
-    both as (select x, y from links union select y, x from links),
-    reach as (with recursive r(a, b) as (select x, x from both union select r.a, both.y from r join both on both.x = r.b) select a doc_id, min(b) m from r group by a)
+    bi as (select x, y from links union select y, x from links),
+    reach as (with recursive r(a, b) as (select x, x from bi union select r.a, bi.y from r join bi on bi.x = r.b) select a doc_id, min(b) m from r group by a)
     select w.doc_id, cast(coalesce(n.n, 0) as bigint) n_shingles, coalesce(m, w.doc_id) component_id from w left join n using (doc_id) left join reach using (doc_id)""")
 def op6(spark, sf_dir):
     return jaccard.near_components(documents(spark, sf_dir))
