@@ -16,15 +16,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import size_in_bytes, stage
+from ..staging import size_in_bytes, small, stage
 
-SLICE_BYTES = 2 << 20
-BUCKET_BYTES = 8 << 20
+SLICE_BYTES = 3 << 19
+BUCKET_BYTES = 4 << 20
 MAX_BUCKETS = 1 << 20
-KEY_BITS = 40
+KEY_BITS = 38
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -173,7 +173,7 @@ def joined(column, read) -> tuple[np.ndarray, np.ndarray]:
 
 
 def by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Bucket, its ascending 40-bit keys, and the positions they came from."""
+    """Bucket, its ascending keys of ``KEY_BITS`` bits, and the positions they came from."""
     mask = _U((1 << KEY_BITS) - 1)
     mixed = ((keys >> _U(KEY_BITS)) % _U(buckets) << _U(KEY_BITS)) | (keys & mask)
     order = np.argsort(mixed, kind="stable")
@@ -251,3 +251,34 @@ def components(edges: DataFrame) -> DataFrame:
     nodes = e.groupBy("v").agg(F.min("u").alias("component")).withColumnRenamed("v", "node")
     roots = e.select(F.col("u").alias("node")).distinct().join(nodes, "node", "left_anti")
     return nodes.unionByName(roots.withColumn("component", F.col("node"))).select("node", "component")
+
+
+# ---- running sums
+
+def running(df: DataFrame, group: list[str], value: str, name: str, rows: int = 2048) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over the rows of the group that come before, and ``__h``, the order.
+
+    The order is that of a hash of the whole row, so equal rows may stand in either order.
+    The hash's leading bits cut each group into ranges of about ``rows`` rows; sums of ranges
+    and of stretches of ranges are added up first, so no window holds a whole group.  Nulls
+    in the group columns make a group of their own.
+    """
+    bits = max(0, int(df.count() // rows).bit_length())
+    high = F.shiftrightunsigned(F.col("__h"), 64 - bits) if bits else F.lit(0).cast("long")
+    df = df.withColumn("__h", F.xxhash64(F.lit(29), *df.columns)).withColumn("__g", high)
+    sums = stage(df.groupBy(*group, "__g").agg(F.sum(value).alias("__s")).withColumn("__gg", F.shiftright(F.col("__g"), bits // 2)))
+    before = lambda keys, order: F.coalesce(F.sum("__s").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    upper = sums.groupBy(*group, "__gg").agg(F.sum("__s").alias("__s")).withColumn("__up", before(group, "__gg"))
+    lower = sums.withColumn("__low", before([*group, "__gg"], "__g"))
+    same = lambda a, b, keys: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    base = (lower.alias("l").join(upper.alias("u"), same("l", "u", [*group, "__gg"]))
+            .select(*[F.col(f"l.{g}").alias(g) for g in [*group, "__g"]], (F.col("__low") + F.col("__up")).alias("__base")))
+    rows_ = df.alias("d").join(small(stage(base)).alias("b"), same("d", "b", [*group, "__g"]))
+    within = Window.partitionBy(*[F.col(f"d.{g}") for g in group], F.col("d.__g")).orderBy("d.__h").rowsBetween(Window.unboundedPreceding, -1)
+    return rows_.withColumn(name, F.col("__base") + F.coalesce(F.sum(F.col(f"d.{value}")).over(within), F.lit(0))).select(
+        *[F.col(f"d.{c}") for c in df.columns if c != "__g"], name)
+
+
+def word_count(text: str = "text"):
+    """Words of a text; none where it is null."""
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

@@ -17,7 +17,7 @@ there, so neither copies nor common passages pile up in a bucket.
 
 Defined cases.  Text null or without words: nothing to remove.  ``doc_id`` null: the row is
 neither compared nor changed.  A repeated ``doc_id``: its rows do not remove words from each
-other.  Equality is that of 78-bit or longer hashes of the word sequence.
+other.  Equality is that of 70-bit or longer hashes of the word sequence.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import small, stage
-from .common import bucket_count, by_bucket, joined, pack, pack_sorted, runs, slices, unpack, unpack_sorted, words_of
+from .common import KEY_BITS, bucket_count, by_bucket, joined, pack, pack_sorted, runs, slices, unpack, unpack_sorted, words_of
 
 WINDOW, BLOCK = 13, 7
 ENTRY, SPAN, HIT = 0, 1, 2
@@ -150,8 +150,8 @@ def _extend(batches: Iterator[pa.RecordBatch], window: int, block: int, buckets:
         uid, doc = _ids(batch)
         w = words_of(batch, lower=False)
         keys, at = w.grams(block)
-        bucket = ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-        folded = _fold(bucket, (keys & np.uint64((1 << 40) - 1)).astype(np.int64))
+        bucket = ((keys >> np.uint64(KEY_BITS)) % np.uint64(buckets)).astype(np.int64)
+        folded = _fold(bucket, (keys & np.uint64((1 << KEY_BITS) - 1)).astype(np.int64))
         first = np.searchsorted(at, w.first)
         hit = np.zeros(len(w.hash) + 1, np.int64)
         for i, blob in enumerate(batch.column("anchors").to_pylist()):
