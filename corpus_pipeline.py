@@ -1,22 +1,52 @@
-"""Documents to packed batches: the stages in order, each reading what the one before wrote."""
+"""Documents to packed batches: five stages, each reading what the one before wrote."""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from motefield.llm import repeats
+from motefield.llm import jaccard, language, lengths, mixing, repeats
+from motefield.llm.common import bucket_count
 from motefield.staging import staging_dir
 
+LEAST_SCORE = 0.15       # cosine with the nearest language below which a text is in none of them ..
+LEAST_LETTERS = 200      # .. if it has so many letters; the trigrams of shorter texts vary too much to tell
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter go, and those with many letters that are near no language."""
+    names, profiles = language.prototypes(docs)
+    told = language.predict(docs, names, profiles)
+    known = (F.col("score") >= LEAST_SCORE) | (F.regexp_count("text", F.lit(r"\p{L}")) < LEAST_LETTERS)
+    return told.where((F.col("lang_pred") != language.UNKNOWN) & known).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies stays, the one with the least id."""
+    return jaccard.keep_one(docs)
+
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts word runs that an earlier document has; documents of nothing else go."""
+    """Word runs that an earlier document has are cut out; documents of nothing else go."""
     out = repeats.remove_repeats(docs)
     return out.where("n_words = 0 or n_removed < n_words").select(docs.columns)
 
 
-STAGES = [("substring dedup", substring_dedup)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture in its order; sources that end before the largest start again."""
+    mixed = mixing.mix(docs)
+    return mixing.in_order(mixed, bucket_count(docs)).select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Padded batches from optimal length buckets."""
+    return lengths.batch(docs)
+
+
+STAGES = [("language id", language_id), ("n-gram Jaccard join", near_duplicates), ("substring dedup", substring_dedup),
+          ("mix sources", mix_sources), ("pack by length", pack)]
 ORACLE_SQL = None
 
 

@@ -264,7 +264,7 @@ def running(df: DataFrame, group: list[str], value: str, name: str, rows: int =
     in the group columns make a group of their own.
     """
     bits = max(0, int(df.count() // rows).bit_length())
-    high = F.shiftrightunsigned(F.col("__h"), 64 - bits) if bits else F.lit(0).cast("long")
+    high = F.shiftright(F.col("__h"), 64 - bits) if bits else F.lit(0).cast("long")
     df = df.withColumn("__h", F.xxhash64(F.lit(29), *df.columns)).withColumn("__g", high)
     sums = stage(df.groupBy(*group, "__g").agg(F.sum(value).alias("__s")).withColumn("__gg", F.shiftright(F.col("__g"), bits // 2)))
     before = lambda keys, order: F.coalesce(F.sum("__s").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

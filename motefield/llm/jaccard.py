@@ -348,9 +348,18 @@ def near_groups(docs: DataFrame, n: int = N, tile_rows: int = TILE_ROWS) -> Data
             .withColumn("component", F.coalesce("component", "__uid")))
 
 
+def _told_apart(rows: DataFrame) -> bool:
+    """True where the row number is the document's own id."""
+    return rows.where("not (__uid <=> doc_id)").isEmpty()
+
+
 def near_components(docs: DataFrame, n: int = N, tile_rows: int = TILE_ROWS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``."""
-    groups = stage(near_groups(docs, n, tile_rows))
+    rows = numbered(docs.select("doc_id", "text"))
+    groups = near_groups(rows, n, tile_rows)
+    if _told_apart(rows):
+        return groups.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    groups = stage(groups)
     least = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return groups.join(least, "component").select("doc_id", "n_shingles", "component_id")
 
@@ -358,8 +367,12 @@ def near_components(docs: DataFrame, n: int = N, tile_rows: int = TILE_ROWS) ->
 def keep_one(docs: DataFrame, n: int = N) -> DataFrame:
     """``docs`` with one row of each group of near-copies: the least ``doc_id``, nulls last, then the row written first."""
     rows = numbered(docs)
-    groups = stage(near_groups(rows, n).where("n_shingles > 0"))
-    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__uid")
-    least = groups.groupBy("component").agg(F.min(key)["__uid"].alias("kept"), F.count("*").alias("rows")).where("rows > 1")
-    gone = groups.join(least, "component").where("__uid <> kept").select("__uid")
+    groups = near_groups(rows, n).where("n_shingles > 0")
+    if _told_apart(rows):
+        gone = groups.where("component <> __uid").select("__uid")
+    else:
+        groups = stage(groups)
+        key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__uid")
+        least = groups.groupBy("component").agg(F.min(key)["__uid"].alias("kept"))
+        gone = groups.join(least, "component").where("__uid <> kept").select("__uid")
     return rows.join(small(stage(gone)), "__uid", "left_anti").select(docs.columns)

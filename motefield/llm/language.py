@@ -50,7 +50,7 @@ def _letters() -> np.ndarray:
 def letter_vectors(codes: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
     """One row of +1 and -1 per code point."""
     words = mix(codes.astype(np.uint64)[:, None] * np.uint64(1 << 20) + np.arange(1, dimensions // 64 + 1, dtype=np.uint64))
-    bits = np.unpackbits(words.astype("<u8").view(np.uint8).reshape(len(codes), -1), axis=1)
+    bits = np.unpackbits(words.astype("<u8").view(np.uint8).reshape(len(codes), dimensions // 8), axis=1)
     return bits.astype(np.float32) * 2 - 1
 
 
@@ -67,8 +67,8 @@ def _streams(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     last = np.append(first[1:], len(row)) - 1 if len(row) else first
     front = first[letters[first] > 0] if len(first) else first
     back = last[letters[last] > 0] if len(last) else last
-    at = np.concatenate([front, back + 1])
-    return np.insert(letters, at, 0), np.insert(row, at, np.concatenate([row[front], row[back]]))
+    at = np.concatenate([back + 1, front])                       # in this order where one text ends and the next begins
+    return np.insert(letters, at, 0), np.insert(row, at, np.concatenate([row[back], row[front]]))
 
 
 def bundles(batch: pa.RecordBatch, dimensions: int = DIMENSIONS) -> Iterator[tuple[slice, np.ndarray]]:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard, language, repeats
+from . import cosine, jaccard, language, lengths, likelihood, maxscore, mixing, preferences, repeats, tokens
 
 QUERIES: dict = {}
 CHECKS: dict = {}
@@ -64,3 +65,73 @@ def op6(spark, sf_dir):
 @query("op1_language_id")
 def op1(spark, sf_dir):
     return language.identify(documents(spark, sf_dir))
+
+
+@query("op3_maxscore_topk", """
+    with v as (select distinct cast(vec_id as bigint) id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) e from embeddings
+               where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (select q.id query_id, c.id vec_id, cast(list_inner_product(q.e, c.e) as bigint) score from v q join v c on q.id <> c.id where q.id % 50 = 0)
+    select query_id, cast(rank as integer) rank, vec_id, score
+    from (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from s) where rank <= 5""")
+def op3(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return maxscore.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query("op4_pfair_mix")
+def op4(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
+    return mixing.mix(docs).drop("text")
+
+
+@query("op5_lattice_lm")
+def op5(spark, sf_dir):
+    return likelihood.score(documents(spark, sf_dir))
+
+
+@query("op7_preference_pairs", """
+    with t as (select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) n
+               from (select distinct conv_id, turn, role, text from conversations where conv_id is not null)),
+    l as (select conv_id, max(n) filter (role = 'assistant') last, count(*) n from t group by conv_id),
+    r as (select xor(conv_id, 1) conv_id, role, text from t join l using (conv_id) where t.n = last),
+    m as (select t.*, last, r.conv_id is not null has, r.text other,
+                 last is not null and not (r.conv_id is not null and t.n = last and r.text is not distinct from t.text) as open,
+                 '<|' || coalesce(t.role, '') || '|>' || chr(10) || coalesce(t.text, '') || '<|end|>' || chr(10) shown
+          from t join l using (conv_id) left join r using (conv_id) where last is null or t.n <= last),
+    p as (select conv_id, string_agg(shown, '' order by n) filter (last is null or n < last or not open) prompt,
+                 count(*) filter (last is null or n < last or not open) prompt_turns,
+                 string_agg(shown, '') filter (n = last and open) chosen_text,
+                 max(length(coalesce(text, ''))) filter (n = last and open) chars,
+                 max(coalesce(other, '')) filter (n = last and open and has) reply
+          from m group by conv_id)
+    select conv_id, cast(prompt_turns as integer) prompt_turns, coalesce(prompt, '') prompt, coalesce(chosen_text, '') chosen_text,
+           coalesce('14-' || (14 + chars + 8), '') chosen_spans,
+           coalesce('<|assistant|>' || chr(10) || reply || '<|end|>' || chr(10), '') rejected_text,
+           coalesce('14-' || (14 + length(reply) + 8), '') rejected_spans from p""")
+def op7(spark, sf_dir):
+    pairs = preferences.format_pairs(preferences.swapped_replies(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+    told = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["stop"].cast("string"))), " ").alias(c)
+    return pairs.select("conv_id", "prompt_turns", "prompt", "chosen_text", told("chosen_spans"), "rejected_text", told("rejected_spans"))
+
+
+@query("op8_length_buckets")
+def op8(spark, sf_dir):
+    return lengths.batch(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+
+
+@query("op9_packed_rows")
+def op9(spark, sf_dir):
+    return tokens.pack_documents(documents(spark, sf_dir))
+
+
+@query("op10_embedding_near_dedup", """
+    with v as (select cast(vec_id as bigint) id, label, list_transform(embedding, lambda x: cast(x as double)) e from embeddings
+               where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+                     and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    bi as (select a.id x, b.id y from v a join v b on a.label = b.label and a.id <> b.id where list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach as (with recursive r(a, b) as (select distinct x, x from bi union select r.a, bi.y from r join bi on bi.x = r.b) select a vec_id, min(b) m from r group by a),
+    n as (select x vec_id, count(*) n from bi group by x)
+    select cast(e.vec_id as bigint) vec_id, cast(coalesce(n, 0) as bigint) n_links, coalesce(m, e.vec_id) component_id, coalesce(m, e.vec_id) = e.vec_id kept
+    from embeddings e left join n using (vec_id) left join reach using (vec_id)""")
+def op10(spark, sf_dir):
+    return cosine.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
