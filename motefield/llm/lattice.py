@@ -9,6 +9,7 @@ length are handled together, a trie of the pieces walks all of them at once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -31,16 +32,20 @@ class Pieces:
                     nodes[p[:i]] = len(nodes)
                     rows.append((nodes[p[:i - 1]], self.of_byte[p[i - 1]], nodes[p[:i]]))
             leaves[nodes[p]] = k
-        self.move = np.zeros((len(nodes), len(used) + 1), np.int32)  # 0: no such piece goes on
+        self.move = np.zeros((len(nodes), len(used) + 1), np.min_scalar_type(len(nodes)))     # 0: no such piece goes on
         a, b, c = np.array(rows).T
         self.move[a, b] = c
         self.leaf = np.full(len(nodes), -1, np.int32)
         self.leaf[list(leaves)] = list(leaves.values())
         self.longest = max(map(len, self.names))
 
+    def __reduce__(self):
+        """Only the names travel; a worker builds its table once."""
+        return pieces_of, (tuple(self.names),)
+
     def arcs(self, codes: np.ndarray, start: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """End, words and pieces of the arcs that leave position ``start`` of words (one per row of ``codes``)."""
-        word, node = np.arange(len(codes)), np.zeros(len(codes), np.int32)
+        word, node = np.arange(len(codes)), np.zeros(len(codes), self.move.dtype)
         for end in range(start + 1, min(codes.shape[1], start + self.longest) + 1):
             node = self.move[node, codes[word, end - 1]]
             on = node > 0
@@ -101,6 +106,11 @@ class Pieces:
         return out
 
 
+@lru_cache(maxsize=2)
+def pieces_of(names: tuple[bytes, ...]) -> Pieces:
+    return Pieces(list(names))
+
+
 def read_vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
     """Pieces as bytes (a word's leading mark as a blank) and their ranks, from a SentencePiece model."""
     import sentencepiece
