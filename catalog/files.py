@@ -142,26 +142,29 @@ def reply_scan(spark, sf):
 
 
 def write_masks(df, path):
-    """Grey maps of 192 x 108 pixels from merged runs, one file per view."""
-    def draw(key, pdf):
-        import os
+    """Grey maps of 192 x 108 pixels from merged runs, one file per view in the folder of its scene."""
+    path = ply.qualified(df.sparkSession, path)
 
+    def draw(key, pdf):
         import numpy as np
         import pandas as pd
+
+        from motefield.sources.ply import _filesystem
         px = np.zeros((108, 192), np.uint8)
         for y, a, b in zip(pdf.y, pdf.x0, pdf.x1):
             px[y, a:b + 1] = 200
-        os.makedirs(path, exist_ok=True)
-        with open(f"{path}/mask_{key[0]}_{key[1]}.pgm", "wb") as f:
+        system, base = _filesystem(path)
+        system.create_dir(f"{base}/scene_{key[0]}", recursive=True)
+        with system.open_output_stream(f"{base}/scene_{key[0]}/v{key[1]}.pgm") as f:
             f.write(b"P5\n192 108\n255\n" + px.tobytes())
         return pd.DataFrame({"n": [int((px > 127).sum())]})
     return df.groupBy("scene_id", "view_id").applyInPandas(draw, "n bigint")
 
 
-@query("mask_scan", oracle(["mask_runs"], "SELECT concat('mask_', scene_id, '_', view_id) AS mask, y, x0, x1 FROM (" + island("px1", "scene_id, view_id") + ") AS q",
+@query("mask_scan", oracle(["mask_runs"], "SELECT concat('scene_', scene_id, '/v', view_id) AS mask, concat('v', view_id) AS tag, y, x0, x1 FROM (" + island("px1", "scene_id, view_id") + ") AS q",
        "px1 AS (SELECT DISTINCT scene_id, view_id, y, unnest(range(x0, x1 + 1)) AS px FROM mask_runs)"))
 def mask_scan(spark, sf):
-    path = folder(spark, "masks").replace("file:", "")
+    path = folder(spark, "masks")
     write_masks(mk.mask_union(table(spark, sf, "mask_runs"), ["scene_id", "view_id"]), path).count()
     return sc.mask_scan(spark, path)
 

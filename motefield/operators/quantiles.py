@@ -1,14 +1,18 @@
 """Exact linear-interpolated percentiles of many groups, without sorting a group.
 
 A group may hold a third of all rows, so no task may see a whole group.  The
-selection runs in two narrow scans:
+selection runs in narrow scans:
 
 1. a histogram over order-preserving buckets, logarithmic in the magnitude.  Partial aggregation leaves a few thousand rows per group
    whatever the group's size; running counts tell which bucket holds each rank;
-2. the values of only those buckets, counted per distinct value, whose running
+2. while a bucket that is asked for is crowded (map coordinates fall into one), it is
+   cut evenly between its least and largest value, and only the parts that hold
+   a rank go on;
+3. the values of those parts, counted per distinct value, whose running
    counts give the two order statistics next to each requested position.
 
 The interpolation is ``lo + (hi - lo) * fraction`` at position ``p * (n - 1)``.
+Nulls, NaN and infinities are left out, of the counts too.
 """
 
 from __future__ import annotations
@@ -16,10 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import small, stage, staged_small
+from ..staging import small, stage
 
 _NEAR = 1e6            # magnitudes well below 1 / _NEAR share the buckets around zero
 _STEPS = 1500.0        # buckets per factor e above that
+_PARTS, _LEVELS = 4096, 3   # how finely and how often a crowded bucket is cut
+CROWDED_ROWS = 1_000_000
+_CROWDED_CONF = "motefield.crowded.rows"
 
 
 def ordered_bucket(v: Column) -> Column:
@@ -31,6 +38,13 @@ def ordered_bucket(v: Column) -> Column:
     return (F.signum(v) * F.floor(F.log1p(F.abs(v) * F.lit(_NEAR)) * F.lit(_STEPS))).cast("bigint")
 
 
+def _joined(rows: DataFrame, targets: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of the buckets asked for; a null in a key is a group like any other."""
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in on]
+    rest = [c for c in targets.columns if c not in on]
+    return rows.alias("r").join(small(targets).alias("t"), same).select("r.*", *[F.col(f"t.{c}") for c in rest])
+
+
 def percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
                 want: list[tuple[str, str, float]], with_count: str | None = None) -> DataFrame:
     """One row per group with a column for each ``(output, measure, percent)``.
@@ -43,12 +57,13 @@ def percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
     else:
         long = df.select(*keys, F.posexplode(
             F.array(*[measures[n].cast("double") for n in names])).alias("_m", "_v"))
-    long = long.where(F.col("_v").isNotNull()).withColumn("_b", ordered_bucket(F.col("_v")))
+    long = long.where(F.abs("_v") < float("inf")).withColumn("_b", ordered_bucket(F.col("_v")))
     group = [*keys, "_m"]
+    extremes = [F.count("*").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most")]
 
     by_bucket = Window.partitionBy(*group).orderBy("_b")
     whole = Window.partitionBy(*group)
-    hist = (long.groupBy(*group, "_b").agg(F.count("*").alias("_n"))
+    hist = (long.groupBy(*group, "_b").agg(*extremes)
             .withColumn("_end", F.sum("_n").over(
                 by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .withColumn("_total", F.sum("_n").over(whole))
@@ -70,11 +85,29 @@ def percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
 
     needed = F.exists(asks, lambda a: (a["m"] == F.col("_m")) & (
         holds(ranks(a)[0], "_start", "_end") | holds(ranks(a)[1], "_start", "_end")))
-    targets = staged_small(hist.where(needed).select(*group, "_b", "_start", "_total"))
+    told = [*group, "_b", "_start", "_total"]
+    limit = int(df.sparkSession.conf.get(_CROWDED_CONF, str(CROWDED_ROWS)))
+    crowded = (F.col("_n") > limit) & (F.col("_least") < F.col("_most"))
+    targets, rows, exact = stage(hist.where(needed).select(*told, "_n", "_least", "_most")), long, []
+    for level in range(_LEVELS + 1):
+        more = targets.where(crowded)
+        last = level == _LEVELS or more.isEmpty()
+        exact.append(_joined(rows, targets if last else targets.where(~crowded), [*group, "_b"]).select(*told, "_v"))
+        if last:
+            break
+        part = F.least(F.lit(_PARTS - 1), F.floor((F.col("_v") - F.col("_least")) / (F.col("_most") - F.col("_least")) * _PARTS))
+        inner = _joined(rows, more, [*group, "_b"]).select(
+            *group, (F.col("_b") * _PARTS + part).alias("_b"), "_v", F.col("_b").alias("_outer"), F.col("_start").alias("_base"), "_total")
+        within = Window.partitionBy(*group, "_outer").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cut = (inner.groupBy(*group, "_outer", "_b", "_base", "_total").agg(*extremes)
+               .withColumn("_end", F.col("_base") + F.sum("_n").over(within)).withColumn("_start", F.col("_end") - F.col("_n")))
+        targets, rows = stage(cut.where(needed).select(*told, "_n", "_least", "_most")), inner.select(*group, "_b", "_v")
 
     by_value = Window.partitionBy(*group, "_b").orderBy("_v")
-    fine = (long.join(targets, [*group, "_b"])
-            .groupBy(*group, "_b", "_start", "_total", "_v").agg(F.count("*").alias("_n"))
+    found = exact[0]
+    for e in exact[1:]:
+        found = found.unionByName(e)
+    fine = (found.groupBy(*told, "_v").agg(F.count("*").alias("_n"))
             .withColumn("_hi", F.col("_start") + F.sum("_n").over(
                 by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .withColumn("_lo", F.col("_hi") - F.col("_n")))

@@ -51,6 +51,13 @@ def _filesystem(path: str):
     return fs.LocalFileSystem(), path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path in the session's default file system, unless it names one itself."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+
+
 def _files(path: str, recursive: bool, suffix: str) -> list[tuple[str, int]]:
     from pyarrow import fs
     system, base = _filesystem(path)
@@ -90,6 +97,22 @@ def _read_header(stream) -> tuple[list[tuple[str, str]], int, int]:
     return props, count, end
 
 
+def _properties(file: str) -> list[tuple[str, str]]:
+    system, path = _filesystem(file)
+    with system.open_input_file(path) as stream:
+        return _read_header(stream)[0]
+
+
+def _united(found: list[tuple[int, int, str, str]]) -> StructType:
+    """One schema for (file number, place, name, type) of all headers; a name must have one type."""
+    kinds: dict[str, str] = {}
+    for _, _, name, kind in sorted(found):
+        if kinds.setdefault(name, kind) != kind:
+            raise ValueError(f"property {name} is {kinds[name]} in one file and {kind} in another")
+    return StructType([StructField(n, _SPARK[t]) for n, t in kinds.items()]
+                      + [StructField("file", StringType()), StructField("row_no", LongType())])
+
+
 class SplatReader(DataSourceReader):
     def __init__(self, options, schema):
         self.path = options["path"]
@@ -161,7 +184,13 @@ class SplatWriter(DataSourceArrowWriter):
         kinds = {"tinyint": "i1", "smallint": "<i2", "int": "<i4", "bigint": "<i4", "float": "<f4", "double": "<f8"}
         out = np.empty(batch.num_rows, np.dtype([(c, kinds[t]) for c, t in self.columns]))
         for c, _ in self.columns:
-            out[c] = batch.column(c).to_numpy(zero_copy_only=False)
+            values = batch.column(c)
+            if values.null_count and pa.types.is_integer(values.type):
+                raise ValueError(f"column {c} holds nulls, which the format has no integer for")
+            values = values.to_numpy(zero_copy_only=False)
+            if values.dtype == np.int64 and len(values) and not (-2 ** 31 <= values.min() and values.max() < 2 ** 31):
+                raise OverflowError(f"column {c} holds integers beyond 32 bits, which the format cannot hold")
+            out[c] = values
         return out.tobytes()
 
     def write(self, batches):
@@ -224,13 +253,11 @@ class PlySource(DataSource):
         return "splat_ply"
 
     def schema(self):
+        """The union of all headers; ``read_ply`` finds it in tasks and passes it in."""
         recursive = str(self.options.get("recursiveFileLookup", "false")).lower() == "true"
-        first = _files(self.options["path"], recursive, ".ply")[0][0]
-        system, path = _filesystem(first)
-        with system.open_input_file(path) as stream:
-            props, _, _ = _read_header(stream)
-        return StructType([StructField(n, _SPARK[t]) for n, t in props]
-                          + [StructField("file", StringType()), StructField("row_no", LongType())])
+        found = [(i, j, n, t) for i, (p, _) in enumerate(_files(self.options["path"], recursive, ".ply"))
+                 for j, (n, t) in enumerate(_properties(p))]
+        return _united(found)
 
     def reader(self, schema):
         return SplatReader(self.options, schema)
@@ -259,9 +286,28 @@ def register(spark: SparkSession) -> None:
 
 
 def read_ply(spark: SparkSession, path: str, recursive: bool = False, schema: StructType | None = None) -> DataFrame:
+    """Rows of every file; without a schema, the union of all headers (absent properties are null)."""
     register(spark)
+    path = qualified(spark, path)
     reader = spark.read.format("splat_ply").option("recursiveFileLookup", str(recursive).lower())
-    return (reader.schema(schema) if schema else reader).load(path)
+    return reader.schema(schema or union_schema(spark, path, recursive)).load(path)
+
+
+def union_schema(spark: SparkSession, path: str, recursive: bool = False) -> StructType:
+    """Headers are read in tasks; what comes back is each property once, however many files there are."""
+    files = [p for p, _ in _files(path, recursive, ".ply")]
+    if not files:
+        raise FileNotFoundError(f"no PLY file in {path}")
+    listed = spark.createDataFrame(list(enumerate(files)), "i int, file string").repartition(min(len(files), 200))
+
+    def headers(batches):
+        for b in batches:
+            rows = [(i, j, n, t) for i, f in zip(b.column("i").to_pylist(), b.column("file").to_pylist()) for j, (n, t) in enumerate(_properties(f))]
+            cols = list(zip(*rows)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.string()))], names=["i", "j", "n", "t"])
+
+    found = listed.mapInArrow(headers, "i int, j int, n string, t string").groupBy("n", "t").agg(F.min(F.struct("i", "j")).alias("at"))
+    return _united([(r.at.i, r.at.j, r.n, r.t) for r in found.collect()])
 
 
 ROWS_PER_FILE = 20_000_000
@@ -284,7 +330,7 @@ def write_ply(df: DataFrame, path: str, name, columns: list[str], ids: list[str]
     """All given columns of the rows, one file per value of ``name``."""
     register(df.sparkSession)
     out = _named(df, name, ".ply", ids, rows_per_file).select(*columns, "file")
-    out.write.format("splat_ply").mode("append").save(path)
+    out.write.format("splat_ply").mode("append").save(qualified(df.sparkSession, path))
 
 
 def write_viewer(df: DataFrame, path: str, name, ids: list[str], rows_per_file: int = ROWS_PER_FILE) -> None:
@@ -293,13 +339,14 @@ def write_viewer(df: DataFrame, path: str, name, ids: list[str], rows_per_file:
     register(df.sparkSession)
     out = encoded(linear_scales(fill_defaults(df)))
     cols = ["x", "y", "z", "sx", "sy", "sz", "c_r", "c_g", "c_b", "c_a", "q_w", "q_x", "q_y", "q_z"]
-    _named(out, name, ".splat", ids, rows_per_file).select(*cols, "file").write.format("splat_viewer").mode("append").save(path)
+    _named(out, name, ".splat", ids, rows_per_file).select(*cols, "file").write.format("splat_viewer").mode("append").save(
+        qualified(df.sparkSession, path))
 
 
 def convert_tree(spark: SparkSession, source: str, target: str, recursive: bool = False) -> DataFrame:
     """Convert every PLY under a folder; returns the rows per file."""
     df = read_ply(spark, source, recursive)
-    base = source.rstrip("/") + "/"
-    stem = F.regexp_replace(F.replace(F.col("file"), F.lit(base), F.lit("")), r"\.ply$", "")
+    base = _filesystem(qualified(spark, source))[1].rstrip("/") + "/"
+    stem = F.regexp_replace(F.substring_index(F.col("file"), base, -1), r"(\.part-\d{5,})?\.ply$", "")
     write_viewer(df.withColumn("_stem", stem).drop("file"), target, F.col("_stem"), ["_stem", "row_no"])
     return df.select(stem.alias("name")).groupBy("name").agg(F.count("*").alias("n_splats"))

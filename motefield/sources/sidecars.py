@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +68,11 @@ def reply_scan(spark: SparkSession, path: str) -> DataFrame:
 
 
 def mask_scan(spark: SparkSession, path: str, above: int = 127) -> DataFrame:
-    """8-bit grey maps (binary PGM) as runs of the pixels brighter than ``above``."""
+    """8-bit grey maps (binary PGM) as runs of the pixels brighter than ``above``.
+
+    ``mask`` is the file's path below ``path`` without its ending, so that files of one
+    name in the folders of different scenes, objects or passes stay apart; ``tag`` is the bare name.
+    """
     import pyarrow as pa
 
     def runs(batches):
@@ -95,7 +101,10 @@ def mask_scan(spark: SparkSession, path: str, above: int = 127) -> DataFrame:
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pgm").load(path)
     out = files.select("path", "content").mapInArrow(runs, "path string, y int, x0 int, x1 int")
-    return out.select(F.regexp_extract("path", r"([^/]+)\.pgm$", 1).alias("mask"), "y", "x0", "x1")
+    below = F.regexp_replace(F.col("path"), r"^[a-z0-9+.-]+:/+", "/")
+    root = F.lit("/" + re.sub(r"^[a-z0-9+.-]+:/+", "", path).strip("/") + "/")
+    inside = F.substring(below, F.instr(below, root) + F.length(root), F.length(below))
+    return out.select(F.regexp_replace(inside, r"\.pgm$", "").alias("mask"), F.regexp_extract("path", r"([^/]+)\.pgm$", 1).alias("tag"), "y", "x0", "x1")
 
 
 def stage_files(spark: SparkSession, path: str) -> DataFrame:

@@ -89,26 +89,26 @@ def any_of(conditions: list[Column]) -> Column:
 def attach(df: DataFrame, stats: DataFrame, keys: list[str], weight: str) -> DataFrame:
     """Join per-group statistics back to the rows of the groups.
 
-    Every key of ``df`` must be in ``stats``; ``weight`` is its row count.  When
-    ``stats`` is measured small it is broadcast and the rows do not move.
-    Otherwise the groups above ``HOT_GROUP_ROWS`` (at most rows / HOT_GROUP_ROWS
-    of them, so that list is bounded) are broadcast, and only rows of the other
-    groups meet their statistics through the shuffle; hot rows are salted so
-    that they spread evenly over it.
+    A null in a key makes a group of its own, as grouping has it, and NaN equals NaN; a
+    row whose group is missing in ``stats`` stays, with nulls.  ``weight`` is the
+    group's row count.  When ``stats`` is measured small it is broadcast and the
+    rows do not move.  Otherwise the groups above ``HOT_GROUP_ROWS`` (at most rows /
+    HOT_GROUP_ROWS of them, so that list is bounded) are broadcast, and only rows of
+    the other groups meet their statistics through the shuffle; hot rows are
+    salted so that they spread evenly over it.  Both ways give the same rows.
     """
     stats = stage(stats)
     values = [c for c in stats.columns if c not in keys]
+    on = lambda left, right, cols: [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols]
     if fits_broadcast(stats):
-        return df.join(F.broadcast(stats), keys)
+        out = df.alias("d").join(F.broadcast(stats).alias("s"), on("d", "s", keys), "left")
+        return out.select(*[F.col(f"d.{c}") for c in df.columns], *[F.col(f"s.{c}") for c in values])
     hot_rows = int(df.sparkSession.conf.get(_HOT_CONF, str(HOT_GROUP_ROWS)))
-    hot = stats.where(F.col(weight) >= hot_rows).select(
-        *keys, F.struct(*values).alias("_hot"))
-    cold = stats.where(F.col(weight) < hot_rows).select(
-        *keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_cold"))
-    out = (df.join(small(hot), keys, "left")
-             .withColumn("_salt", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(
-                 1 + F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")))
-             .join(cold, [*keys, "_salt"], "left"))
-    return out.select(
-        *df.columns,
-        *[F.coalesce(F.col(f"_hot.{c}"), F.col(f"_cold.{c}")).alias(c) for c in values])
+    hot = stats.where(F.col(weight) >= hot_rows).select(*keys, F.struct(*values).alias("_hot"))
+    cold = stats.where(F.col(weight) < hot_rows).select(*keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_cold"))
+    out = df.alias("d").join(small(hot).alias("h"), on("d", "h", keys), "left").select("d.*", "h._hot")
+    out = out.withColumn("_salt", F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(
+        1 + F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")))
+    out = out.alias("d").join(cold.alias("c"), on("d", "c", [*keys, "_salt"]), "left")
+    return out.select(*[F.col(f"d.{c}") for c in df.columns],
+                      *[F.coalesce(F.col(f"d._hot.{c}"), F.col(f"c._cold.{c}")).alias(c) for c in values])

@@ -32,6 +32,26 @@ def test_nulls_are_left_out(spark):
     assert percentiles(df, ["g"], {"v": F.col("v")}, [("m", "v", 50.0)]).first().m == 2.0
 
 
+def test_numbers_that_are_not_finite_are_left_out(spark):
+    rows = [(1, v) for v in (1.0, float("nan"), 3.0, float("inf"), float("-inf"), None)] + [(2, float("nan"))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    assert [tuple(r) for r in percentiles(df, ["g"], {"v": F.col("v")}, [("m", "v", 50.0)], "n").collect()] == [(1, 2.0, 2)]
+
+
+def test_crowded_buckets_are_cut(spark, side):
+    rng = np.random.default_rng(5)
+    parts = [np.linspace(456000, 456010, 5000), np.full(3000, 456001.5), 7e5 + rng.normal(size=4000) * 1e-7, rng.normal(size=2000) * 1e-30]
+    pdf = pd.concat([pd.DataFrame({"g": i, "v": v}) for i, v in enumerate(parts)])
+    spark.conf.set("motefield.crowded.rows", "50")
+    points = [0.0, 5.0, 37.7, 50.0, 99.0, 100.0]
+    got = percentiles(spark.createDataFrame(pdf), ["g"], {"v": F.col("v")}, [(f"p{i}", "v", p) for i, p in enumerate(points)], "n").toPandas()
+    spark.conf.unset("motefield.crowded.rows")
+    assert len(got) == 4
+    for _, row in got.iterrows():
+        v = pdf.v[pdf.g == row.g]
+        assert row.n == len(v) and all(np.isclose(row[f"p{i}"], np.percentile(v, p), rtol=1e-12, atol=0) for i, p in enumerate(points))
+
+
 def test_bucket_keeps_order(spark):
     v = np.sort(np.concatenate([-np.logspace(-12, 12, 3000), [0.0], np.logspace(-12, 12, 3000), 2.0 ** np.arange(-30, 30), np.nextafter(2.0 ** np.arange(-30, 30), 0)]))
     b = spark.createDataFrame(pd.DataFrame({"v": v})).select("v", ordered_bucket(F.col("v")).alias("b")).toPandas().sort_values("v").b.to_numpy()

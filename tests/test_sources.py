@@ -3,6 +3,7 @@ import os
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from motefield.sources import ply
@@ -66,6 +67,45 @@ def test_masks_from_grey_maps(spark, tmp_path):
     (tmp_path / "mask_y0.pgm").write_bytes(b"P5\n# note\n6 4\n255\n" + px.tobytes())
     got = {(r.mask, r.y, r.x0, r.x1) for r in sc.mask_scan(spark, str(tmp_path)).collect()}
     assert got == {("mask_y0", 1, 2, 4), ("mask_y0", 3, 0, 0), ("mask_y0", 3, 5, 5)}
+    for folder in ("s/02_a", "s/02_b"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "y000_p00.pgm").write_bytes(b"P5\n6 4\n255\n" + px.tobytes())
+    got = {(r.mask, r.tag) for r in sc.mask_scan(spark, str(tmp_path)).collect()}
+    assert got == {("mask_y0", "mask_y0"), ("s/02_a/y000_p00", "y000_p00"), ("s/02_b/y000_p00", "y000_p00")}
+
+
+def ply_file(path, kinds, n=2):
+    names = {"<f4": "float", "<i4": "int", "u1": "uchar"}
+    head = f"ply\nformat binary_little_endian 1.0\nelement vertex {n}\n" + "".join(f"property {names[k]} {c}\n" for c, k in kinds) + "end_header\n"
+    path.write_bytes(head.encode() + np.ones(n, np.dtype(kinds)).tobytes())
+
+
+def test_schema_is_the_union_of_all_headers(spark, tmp_path):
+    ply_file(tmp_path / "a.ply", [("x", "<f4")])
+    ply_file(tmp_path / "b.ply", [("x", "<f4"), ("f_rest_0", "<f4"), ("n", "<i4")])
+    for df in (ply.read_ply(spark, str(tmp_path)), spark.read.format("splat_ply").load(str(tmp_path))):
+        assert df.columns == ["x", "f_rest_0", "n", "file", "row_no"]
+        assert sorted((r.x, r.f_rest_0, r.n) for r in df.where("n is not null").collect()) == [(1.0, 1.0, 1)] * 2 and df.count() == 4
+    ply_file(tmp_path / "c.ply", [("x", "u1")])
+    with pytest.raises(ValueError):
+        ply.read_ply(spark, str(tmp_path))
+
+
+def test_integers_the_format_cannot_hold_are_refused(spark, tmp_path):
+    for value in (2 ** 40 + 5, None):
+        df = spark.createDataFrame([(value, 1.0)], "id long, x float")
+        with pytest.raises(Exception, match="32 bits|nulls"):
+            ply.write_ply(df, str(tmp_path / f"o{value}"), F.lit("a"), ["id", "x"], ["x"])
+    ply.write_ply(spark.createDataFrame([(-2 ** 31, 1.0)], "id long, x float"), str(tmp_path / "ok"), F.lit("a"), ["id", "x"], ["x"])
+    assert ply.read_ply(spark, str(tmp_path / "ok")).first().id == -2 ** 31
+
+
+def test_converted_parts_are_one_file_again(spark, tmp_path):
+    pdf = table(300)
+    ply.write_ply(spark.createDataFrame(pdf), str(tmp_path / "in"), F.lit("s/big"), [c for c in pdf.columns if c != "obj"], ["id"], rows_per_file=100)
+    got = ply.convert_tree(spark, str(tmp_path / "in"), str(tmp_path / "out"), recursive=True).collect()
+    assert [(r.name, r.n_splats) for r in got] == [("s/big", 300)]
+    assert os.listdir(tmp_path / "out" / "s") == ["big.splat"] and (tmp_path / "out" / "s" / "big.splat").stat().st_size == 9600
 
 
 def test_items_and_replies(spark, tmp_path):
