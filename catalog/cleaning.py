@@ -133,10 +133,11 @@ def clean_scenes(spark, sf):
 
 
 @query("cardinal_strip", oracle(["splats", "planes"], f"SELECT {ID} FROM vc WHERE density >= 15", pct("cp", "splats", "scene_id", [("cut", "y", 40.0)])
-       + ", st AS (SELECT s.* FROM splats AS s JOIN cp USING (scene_id) JOIN planes USING (scene_id) WHERE y > cut AND y >= -d / b - 2.13e0 AND y <= -d / b), "
+       + ", st AS (SELECT s.* REPLACE (x / 40 AS x, z / 40 AS z) FROM splats AS s JOIN cp USING (scene_id) JOIN planes USING (scene_id) WHERE y > cut AND y >= -d / b - 2.13e0 AND y <= -d / b), "
        + voxcount_cte("vc", "st", 0.05)))
 def cardinal_strip(spark, sf):
-    return ids(fl.cardinal_strip(splats(spark, sf), planes(spark, sf)))
+    dense = splats(spark, sf).withColumns({"x": F.col("x") / 40, "z": F.col("z") / 40})        # voxels with enough splats
+    return ids(fl.cardinal_strip(dense, planes(spark, sf)))
 
 
 @query("density_filter", oracle(["splats"], f"SELECT {ID}, scene_id FROM vc WHERE density >= 10", voxcount_cte("vc", "splats", 0.1)))

@@ -329,15 +329,6 @@ def destreak_geometry(spark, sf):
 
 BOX_CTE = pct("rb5", "splats", "scene_id, object_id", [(f"{a}_{n}", a, p) for a in "xyz" for n, p in (("min", 5.0), ("max", 95.0))]) + """,
   boxes AS (SELECT *, (x_max - x_min) * (y_max - y_min) * (z_max - z_min) AS volume FROM rb5)"""
-LINK_CTE = BOX_CTE + """, links AS (SELECT scene_id, child, parent FROM (SELECT c.scene_id, c.object_id AS child, p.object_id AS parent,
-  row_number() OVER (PARTITION BY c.scene_id, c.object_id ORDER BY p.volume, p.object_id) AS r FROM boxes AS c JOIN boxes AS p ON c.scene_id = p.scene_id
-  WHERE p.volume > c.volume AND p.x_min - 0.15e0 <= c.x_min AND p.x_max + 0.15e0 >= c.x_max AND p.z_min - 0.15e0 <= c.z_min AND p.z_max + 0.15e0 >= c.z_max
-    AND (abs(c.y_min - p.y_max) <= 0.10e0 OR abs(c.y_max - p.y_min) <= 0.10e0)) AS q WHERE r = 1)"""
-
-
-def links(spark, sf):
-    from motefield.staging import stage
-    return stage(hi.parent_child(fr.robust_aabb(splats(spark, sf), OBJ), S, "object_id"))
 
 
 def parts(spark, sf):
@@ -367,9 +358,15 @@ def parent_child(spark, sf):
     return part_links(spark, sf)
 
 
-@query("smallest_parent", oracle(["splats"], "SELECT scene_id, child, parent FROM links", LINK_CTE))
+@query("smallest_parent", oracle(["splats"], "SELECT scene_id, grp, child, parent FROM glinks", PART_CTE + """,
+  gboxes AS (SELECT *, pk % 3 AS grp FROM pboxes),
+  glinks AS (SELECT scene_id, grp, child, parent FROM (SELECT c.scene_id, c.grp, c.pk AS child, p.pk AS parent,
+    row_number() OVER (PARTITION BY c.scene_id, c.grp, c.pk ORDER BY p.volume, p.pk) AS r FROM gboxes AS c JOIN gboxes AS p ON c.scene_id = p.scene_id AND c.grp = p.grp
+    WHERE p.volume > c.volume AND p.x_min - 0.15e0 <= c.x_min AND p.x_max + 0.15e0 >= c.x_max AND p.z_min - 0.15e0 <= c.z_min AND p.z_max + 0.15e0 >= c.z_max
+    AND (abs(c.y_min - p.y_max) <= 0.10e0 OR abs(c.y_max - p.y_min) <= 0.10e0)) AS q WHERE r = 1)"""))
 def smallest_parent(spark, sf):
-    return links(spark, sf)
+    """The smallest parent within a third of each scene's parts, whose layers touch each other."""
+    return hi.parent_child(part_boxes(spark, sf).withColumn("grp", F.col("pk") % 3), ["scene_id", "grp"], "pk")
 
 
 @query("attach_parent", oracle(["splats"], "SELECT b.scene_id, b.pk, volume, parent FROM pboxes AS b LEFT JOIN plinks AS l ON b.scene_id = l.scene_id AND b.pk = l.child", PART_CTE))

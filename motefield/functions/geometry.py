@@ -181,36 +181,3 @@ def focal(height: Column, fov_deg: Column) -> Column:
 def camera_space(x: Column, y: Column, z: Column, get=F.col) -> Vec:
     return tuple(get(f"r{i}0") * x + get(f"r{i}1") * y + get(f"r{i}2") * z + get(f"t{i}")
                  for i in range(3))
-
-
-def project_float(x: Column, y: Column, z: Column, get=F.col) -> tuple[Column, Column, Column]:
-    """Pixel position as doubles; in front means camera z below 0."""
-    cx, cy, cz = camera_space(x, y, z, get)
-    front = cz < 0
-    safe = F.when(front, -cz).otherwise(F.lit(1.0))
-    u = get("f") * cx / safe + get("w") * F.lit(0.5)
-    v = get("f") * cy / safe + get("h") * F.lit(0.5)
-    return u, v, front
-
-
-def project_index(x: Column, y: Column, z: Column, get=F.col) -> tuple[Column, Column, Column]:
-    """Pixel as integers cut toward zero; in the image when depth exceeds 1 cm.
-
-    Bounds are tested on the doubles, so the cast can not overflow: a value
-    above -1 truncates to 0.
-    """
-    cx, cy, cz = camera_space(x, y, z, get)
-    depth = -cz
-    safe = F.greatest(depth, F.lit(1e-6))
-    xs = get("f") * cx / safe + get("w") * F.lit(0.5)
-    ys = get("f") * cy / safe + get("h") * F.lit(0.5)
-    inside = (depth > 0.01) & (xs > -1) & (xs < get("w")) & (ys > -1) & (ys < get("h"))
-    return F.when(inside, xs.cast("int")), F.when(inside, ys.cast("int")), inside
-
-
-def project_round(x: Column, y: Column, z: Column, get=F.col) -> tuple[Column, Column, Column]:
-    """Pixel rounded half to even; in front means camera z below 0."""
-    u, v, front = project_float(x, y, z, get)
-    u, v = F.rint(u), F.rint(v)
-    inside = front & (u >= 0) & (u < get("w")) & (v >= 0) & (v < get("h"))
-    return F.when(inside, u.cast("int")), F.when(inside, v.cast("int")), inside

@@ -51,9 +51,17 @@ def item_scan(spark: SparkSession, path: str) -> DataFrame:
     return out.select("file", "w", "h", "idx", "i.*")
 
 
+FILES_PER_FOLDER = 8
+
+
+def by_folder(df: DataFrame, folders: list[str]) -> DataFrame:
+    """Rows of a folder in few tasks, and so in few files; a crowded folder in ``FILES_PER_FOLDER``."""
+    return df.repartition(*folders, F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_FOLDER)))
+
+
 def item_sink(items: DataFrame, path: str, columns: list[str]) -> None:
     """Items as JSON rows in one folder per scene and quadrant."""
-    items.select(*columns, "scene_id", "quadrant").write.partitionBy("scene_id", "quadrant").mode("append").json(path)
+    by_folder(items.select(*columns, "scene_id", "quadrant"), ["scene_id", "quadrant"]).write.partitionBy("scene_id", "quadrant").mode("append").json(path)
 
 
 def drop_counts(items: DataFrame, keys: list[str], kept: str) -> DataFrame:
@@ -116,7 +124,7 @@ def stage_files(spark: SparkSession, path: str) -> DataFrame:
 
 def report_sink(metrics: DataFrame, path: str, partition: list[str]) -> None:
     """Stage reports as JSON, a folder per scene and stage."""
-    metrics.write.partitionBy(*partition).mode("append").json(path)
+    by_folder(metrics, partition).write.partitionBy(*partition).mode("append").json(path)
 
 
 def stage_report(before: DataFrame, after: DataFrame, keys: list[str], stage: str, settings: dict[str, float]) -> DataFrame:

@@ -7,6 +7,7 @@ from motefield.operators import attributes as at
 from motefield.operators import cameras as cam
 from motefield.operators import filters as fl
 from motefield.operators import fits as ft
+from motefield.operators.projection import project
 
 
 def splats(n=200, seed=1):
@@ -52,8 +53,8 @@ def test_orbit_camera_sees_its_target_in_the_middle(spark):
     f = spark.createDataFrame([(0, 1.0, 2.0, 3.0, 4.0)], "scene_id int, c_x double, c_y double, c_z double, distance double")
     v = cam.orbit(f, cam.orbit_grid()).withColumns({"fov": F.lit(70.0), "w": F.lit(1920), "h": F.lit(1080)})
     v = cam.add_intrinsics(cam.add_look_at(v, up=(0.0, -1.0, 0.0)))
-    u, w, front = g.project_float(F.col("c_x"), F.col("c_y"), F.col("c_z"))
-    out = v.select("tag", u.alias("u"), w.alias("v"), (F.col("eye_y") < F.col("c_y")).alias("above"), front.alias("front")).toPandas()
+    v = project(v.withColumns({a: F.col(f"c_{a}") for a in "xyz"}), "float")
+    out = v.select("tag", "u", "v", (F.col("eye_y") < F.col("c_y")).alias("above"), "front").toPandas()
     assert len(out) == 25 and {"y0_p-15", "y330_p-45", "topdown"} <= set(out.tag)
     assert out.front.all() and np.allclose(out.u, 960) and np.allclose(out.v, 540) and out.above.all()
 
@@ -63,12 +64,11 @@ def test_pixel_rules(spark):
     rows = [(1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 10.0, 20, 10, x, y, z) for x, y, z in
             [(0.0, 0.0, -1.0), (-1.05, 0.0, -1.0), (-1.1, 0.0, -1.0), (0.999, 0.499, -1.0), (1.0, 0.0, -1.0), (0.0, 0.0, -0.005), (0.0, 0.0, 1.0), (1.0, 1.0, 0.0), (0.25, 0.15, -1.0)]]
     df = spark.createDataFrame(rows, v + ", x double, y double, z double")
-    xi, yi, inside = g.project_index(*g.cols("x", "y", "z"))
-    got = [tuple(r) for r in df.select(xi, yi, inside).collect()]
+    got = [(r.px, r.py, r.inside) for r in project(df, "index").collect()]
     assert got[0] == (10, 5, True) and got[1] == (0, 5, True)          # -0.5 is cut to 0
     assert got[2][2] is False and got[3] == (19, 9, True) and not any(r[2] for r in got[4:8])
-    ru, rv, _ = g.project_round(*g.cols("x", "y", "z"))
-    assert tuple(df.select(ru, rv).collect()[8]) == (12, 6)             # 12.5 and 6.5 go to the even side
+    last = project(df, "round").collect()[8]
+    assert (last.px, last.py) == (12, 6)             # 12.5 and 6.5 go to the even side
 
 
 def test_opaque_and_default_alpha_is_full(spark):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from motefield.operators import filters as fl
 from motefield.operators import hulls as hl
+from motefield.operators import votes as vo
 from motefield.operators import voxels as vx
 
 
@@ -41,3 +42,19 @@ def test_hull_is_an_equi_join_on_tiles(spark, tmp_path):
     physical = plan(df)[plan(df).index("Physical Plan"):]
     assert "NestedLoop" not in physical and "Cartesian" not in physical and df.count() > 0
     assert df.agg(F.count_distinct("id")).first()[0] == df.count()
+
+
+def test_box_votes_do_not_move_the_splats(spark, tmp_path):
+    s = parquet(spark, tmp_path / "s")
+    cam = dict(scene_id=0, f=50.0, w=100, h=80, **{f"r{i}{j}": float(i == j) for i in range(3) for j in range(3)}, t0=0.0, t1=0.0, t2=-5.0, x0=10, y0=10, x1=60, y1=60)
+    views = spark.createDataFrame(pd.DataFrame([cam | {"view_id": i} for i in range(3)]))
+    df = vo.box_votes(s, views, ["scene_id"], ["id"])
+    physical = plan(df)[plan(df).index("Physical Plan"):]
+    assert "BroadcastHashJoin" in physical and "Exchange hashpartitioning" not in physical
+    p = s.toPandas()
+    depth = 5 - p.z
+    u, v = 50 * p.x / depth + 50, 50 * p.y / depth + 40
+    seen = (depth > 0) & (u >= 0) & (u < 100) & (v >= 0) & (v < 80)
+    hit = seen & (u >= 10) & (u <= 60) & (v >= 10) & (v <= 60)
+    got = df.toPandas().set_index("id").sort_index()
+    assert (got.visible == 3 * seen).all() and (got.votes == 3 * hit).all() and (got.n_views == 3).all() and hit.sum() > 10
