@@ -79,6 +79,17 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES, text: st
             stop = max(at + 1, past)
             yield batch.slice(at, stop - at)
             at = stop
+    pa.default_memory_pool().release_unused()
+
+
+def light(work):
+    """A function of one group that gives Arrow's free memory back when it is done: a worker waits for its next task with little."""
+    def run(table: pa.Table) -> pa.Table:
+        try:
+            return work(table)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return run
 
 
 class Words:
@@ -213,28 +224,17 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             return nodes, nodes[label]
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = (batch.column(i).to_numpy() for i in (0, 1))
-        if len(a):
-            node, root = forest(a, b)
-            keep = node != root
-            yield pa.RecordBatch.from_arrays([pa.array(root[keep]), pa.array(node[keep])], names=["u", "v"])
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Node and component (its least node) of every node of ``edges`` (two long columns).
 
-    Batches of edges are contracted to forests first; then rounds of large and small stars
-    (each node hands its larger neighbours, then itself, to its least neighbour) run until
-    the edges stay the same.  Each round is written to the shared folder.  No edge list
+    Rounds of large and small stars (each node hands its larger neighbours, then itself, to
+    its least neighbour) run until the edges stay the same.  Each round is written to the shared folder.  No edge list
     leaves the executors; a node with very many neighbours is met by a combined minimum
     and a join that Spark may split.
     """
     spark = edges.sparkSession
     a, b = edges.columns
-    e = (edges.where(F.col(a) != F.col(b)).select(F.least(a, b).cast("long").alias("u"), F.greatest(a, b).cast("long").alias("v"))
-         .mapInArrow(_contract, "u long, v long").distinct())
+    e = (edges.where(F.col(a) != F.col(b)).select(F.least(a, b).cast("long").alias("u"), F.greatest(a, b).cast("long").alias("v")).distinct())
     e, last = stage(e), None
     while True:
         size = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

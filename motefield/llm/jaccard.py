@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..staging import small, stage
-from .common import KEY_BITS, Words, bucket_count, by_bucket, components, forest, joined, mix, pack, pack_sorted, runs, slices, unpack, unpack_sorted, words_of
+from .common import KEY_BITS, Words, bucket_count, by_bucket, components, forest, joined, light, mix, pack, pack_sorted, runs, slices, unpack, unpack_sorted, words_of
 from .repeats import numbered
 
 N = 5
@@ -327,10 +327,10 @@ def near_groups(docs: DataFrame, n: int = N, tile_rows: int = TILE_ROWS) -> Data
     rows = docs.select(F.col("__uid").alias("uid"), "text")
     common = spark.sparkContext.broadcast(_common(rows, n))
     sent = stage(rows.mapInArrow(lambda it: _send(it, n, buckets, common), _ROWS)
-                 .groupBy("bucket").applyInArrow(lambda t: _reply(t, buckets), _ROWS)
-                 .groupBy("bucket").applyInArrow(lambda t: _lead(t, buckets), _ROWS))
+                 .groupBy("bucket").applyInArrow(light(lambda t: _reply(t, buckets)), _ROWS)
+                 .groupBy("bucket").applyInArrow(light(lambda t: _lead(t, buckets)), _ROWS))
     sizes = stage(sent.where(F.col("kind") == ROW).select("a", "b", "c").mapInArrow(_rows, "uid long, n long, signature long"))
-    ties = (sent.where(F.col("kind") == TIE).groupBy("bucket").applyInArrow(_tie, "u long, v long")
+    ties = (sent.where(F.col("kind") == TIE).groupBy("bucket").applyInArrow(light(_tie), "u long, v long")
             .unionByName(sent.where(F.col("kind") == EDGE).select("a", "b").mapInArrow(_edges, "u long, v long")))
     first = sizes.where("n > 0").groupBy("signature", "n").agg(F.min("uid").alias("u"), F.count("*").alias("copies")).where("copies > 1")
     copies = stage(sizes.join(first, ["signature", "n"]).where("uid <> u").select("u", F.col("uid").alias("v")))
@@ -340,7 +340,7 @@ def near_groups(docs: DataFrame, n: int = N, tile_rows: int = TILE_ROWS) -> Data
     sets = (rows.join(small(stage(parts.select("uid").distinct())), "uid").select("uid", "text")
             .mapInArrow(lambda it: _sets(it, n), "uid long, columns binary"))
     links = (parts.join(sets, "uid").groupBy("component", "c1", "t1", "c2", "t2")
-             .applyInArrow(_multiply, "u long, v long"))
+             .applyInArrow(light(_multiply), "u long, v long"))
     linked = components(links.unionByName(copies))
     ids = docs.select("__uid", "doc_id")
     return (ids.join(sizes.select(F.col("uid").alias("__uid"), F.col("n").alias("n_shingles")), "__uid")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .common import bucket_count, by_bucket, joined, pack, runs, slices, unpack, words_of
+from .common import bucket_count, by_bucket, joined, light, pack, runs, slices, unpack, words_of
 from .lattice import Pieces, read_vocabulary
 from .repeats import numbered
 
@@ -147,7 +147,7 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -
     buckets = bucket_count(docs)
     words = stage(docs.select(F.col("__uid").alias("uid"), "text", train.alias("train")).where("text is not null")
                   .mapInArrow(lambda it: _send(it, buckets), _SENT).groupBy("bucket")
-                  .applyInArrow(_merge, "text binary, sizes binary, trained binary, docs binary, uid binary, tf binary"))
+                  .applyInArrow(light(_merge), "text binary, sizes binary, trained binary, docs binary, uid binary, tf binary"))
     documents = docs.where(train).count()
     sums = words.select("trained").mapInArrow(_totals, "tokens long, kinds long").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     tokens, kinds = sums[0] + documents, sums[1] + (documents > 0)

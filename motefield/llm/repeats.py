@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import small, stage
-from .common import KEY_BITS, bucket_count, by_bucket, joined, pack, pack_sorted, runs, slices, unpack, unpack_sorted, words_of
+from .common import KEY_BITS, bucket_count, by_bucket, joined, light, pack, pack_sorted, runs, slices, unpack, unpack_sorted, words_of
 
 WINDOW, BLOCK = 13, 7
 ENTRY, SPAN, HIT = 0, 1, 2
@@ -237,13 +237,13 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) ->
     buckets = bucket_count(docs)
     rows = docs.where("doc_id is not null and text is not null").select(F.col("__uid").alias("uid"), F.col("doc_id").cast("long").alias("doc"), "text")
     met = stage(rows.mapInArrow(lambda it: _probe(it, window, block, buckets), _ROW)
-                .groupBy("bucket").applyInArrow(lambda t: _meet(t, buckets), _ROW))
-    anchors = small(stage(met.where(F.col("kind") == HIT).groupBy("bucket").applyInArrow(_anchors, "uid long, anchors binary")))
+                .groupBy("bucket").applyInArrow(light(lambda t: _meet(t, buckets)), _ROW))
+    anchors = small(stage(met.where(F.col("kind") == HIT).groupBy("bucket").applyInArrow(light(_anchors), "uid long, anchors binary")))
     found = (rows.join(anchors, "uid").select("uid", "doc", "text", "anchors")
              .mapInArrow(lambda it: _extend(it, window, block, buckets), _ROW)
-             .groupBy("bucket").applyInArrow(lambda t: _compare(t, window, buckets), _ROW))
+             .groupBy("bucket").applyInArrow(light(lambda t: _compare(t, window, buckets)), _ROW))
     spans = found.unionByName(met.where(F.col("kind") == SPAN))
-    return spans.where(F.col("kind") == SPAN).groupBy("bucket").applyInArrow(_gather, "uid long, spans binary")
+    return spans.where(F.col("kind") == SPAN).groupBy("bucket").applyInArrow(light(_gather), "uid long, spans binary")
 
 
 class _Cut:
