@@ -243,13 +243,13 @@ def background_subtract(spark, sf):
     return sp.exact_anti(splats(spark, sf), used, S).select(*KEY)
 
 
-_RAD = 0.004
+_RAD = 1e-5
 
 
 @query("background_subtract_radius", oracle(["splats", "stage_splats"], f"""SELECT {ID} FROM splats AS s WHERE NOT EXISTS (SELECT 1 FROM (
   SELECT DISTINCT scene_id, x, y, z, CAST(floor(x / 0.5e0) AS BIGINT) + dx AS cx FROM stage_splats CROSS JOIN (VALUES (-1), (0), (1)) AS n(dx) WHERE stage IN ({_SUB})) AS t
   WHERE t.scene_id = s.scene_id AND t.cx = CAST(floor(s.x / 0.5e0) AS BIGINT)
-    AND (t.x - s.x) * (t.x - s.x) + (t.y - s.y) * (t.y - s.y) + (t.z - s.z) * (t.z - s.z) < {_RAD}e0 * {_RAD}e0)"""))
+    AND (t.x - s.x) * (t.x - s.x) + (t.y - s.y) * (t.y - s.y) + (t.z - s.z) * (t.z - s.z) < {_RAD!r} * {_RAD!r})"""))
 def background_subtract_radius(spark, sf):
     used = stage_splats(spark, sf).where(F.col("stage").isin(k.SUBTRACT_STAGES))
     return sp.radius_anti(splats(spark, sf), used, S, KEY, _RAD).select(*KEY)

@@ -163,13 +163,14 @@ def extract_art(hull: DataFrame, view_boxes: DataFrame, eyes: DataFrame, on: lis
     return fl.wall_slab(kept, [item], fl.pca_normals(kept, [item], eyes))
 
 
-def finalise_scene(splats: DataFrame, stage_splats: DataFrame, ids: list[str], scene: list[str], obj: str) -> DataFrame:
+def finalise_scene(splats: DataFrame, stage_splats: DataFrame, ids: list[str], scene: list[str], obj: str,
+                   radius: float = k.MATCH_RADIUS_M) -> DataFrame:
     """Parents, subtraction of children, background and the reassembled counts."""
     boxes = stage(fr.robust_aabb(splats, [*scene, obj]))
     links = stage(hi.parent_child(boxes, scene, obj))
     carved, _ = hi.child_aabb_subtract(splats, fr.tight_aabb(splats, [*scene, obj]), links, scene, obj, ids)
     whole = splats.join(staged_small(links.select(*scene, F.col("parent").alias(obj)).distinct()), [*scene, obj], "left_anti")
     objects = stage(whole.unionByName(carved))
-    background = stage(sp.exact_anti(splats, stage_splats, scene))
+    background = stage(sp.radius_anti(splats, stage_splats, scene, [obj, *ids], radius))
     merged = inv.merge_scene(background, objects)
     return inv.reassembly_check(background, objects, merged, scene)
