@@ -31,16 +31,22 @@ def clean_scenes(splats: DataFrame, planes: DataFrame) -> tuple[DataFrame, DataF
 
 @dataclass
 class Inputs:
-    """Tables an extraction reads; replies and masks come from outside."""
+    """Tables an extraction reads; replies and masks come from outside.
+
+    Masks, view boxes and prompts belong to one object each (``on`` and ``item``);
+    cameras are the scene's, or an object's own where ``views`` has the item too.
+    """
     splats: DataFrame
     hull_view: DataFrame
     boxes: DataFrame                      # padded boxes with item and label
     views: DataFrame
     planes: DataFrame
-    wide_masks: DataFrame                 # mask indexes per view
+    wide_masks: DataFrame                 # mask indexes per item and view
     tight_masks: DataFrame
-    view_boxes: DataFrame                 # views with a box
+    view_boxes: DataFrame                 # views of items with the item's box
     ids: list[str]
+    neighbours: DataFrame | None = None   # boxes of other items inside an item's box, cut out of its hull
+    prompts: DataFrame | None = None      # number of prompt terms per item, as ``n_prompts``
     on: list[str] = field(default_factory=lambda: ["scene_id"])
     item: str = "item_id"
     wide_frac: float = k.WIDE_VOTE_FRAC
@@ -55,40 +61,49 @@ def _keep(df: DataFrame, kept: DataFrame, ids: list[str]) -> DataFrame:
 class Extraction:
     """Steps of the routes; all objects of all scenes go through a step in one job.
 
-    A splat may belong to several hulls, but its votes only depend on the splat
-    and the views, so each vote runs once per splat and is joined to the hulls.
-    Rows stay narrow on the way: ids, position, item, and what the floor and
-    streak tests say of the splat, taken once at the scan.  ``whole`` fetches the
-    other columns of the survivors.
+    Each object is judged by its own views, masks and boxes, so a row of a step is a
+    splat of one object's hull.  Rows stay narrow on the way: ids, position, item, and
+    what the floor and streak tests say of the splat, taken once at the scan.
+    ``whole`` fetches the other columns of the survivors.
     """
 
     def __init__(self, given: Inputs, streak_rung: int = 1):
         self.g = given
+        self.keys = [*given.on, given.item]
+        self.row = [*given.ids, given.item]
         _, scale, bright = k.STREAK_LADDER[streak_rung]
         marked = computed(plane_columns(given.splats, given.planes), {
             "on_floor": fl.floor_drop_condition(), "streak": fl.dark_streak(scale, bright)})
         self.points = marked.select(*given.ids, *given.on, "x", "y", "z", "on_floor", "streak")
 
-    def hull(self, routes: list[str]) -> DataFrame:
-        """Hull rows of the items whose label takes one of the routes."""
+    def hull(self, routes: list[str], carve: bool = True) -> DataFrame:
+        """Hull rows of the items whose label takes one of the routes, without what their neighbours' boxes cover."""
         g = self.g
         boxes = g.boxes.where(lb.procedure(F.col("label")).isin(routes))
-        return stage(hl.visual_hull(self.points, g.hull_view, boxes, g.on, g.item))
+        out = hl.in_boxes(hl.seen(self.points, g.hull_view, g.on), boxes, g.on, [g.item])
+        if carve and g.neighbours is not None:
+            out = hl.outside_boxes(out, g.neighbours, self.keys, need_front=False)
+        return stage(out.select(*self.points.columns, g.item))
 
     def whole(self, df: DataFrame) -> DataFrame:
         """Extracted rows with every column of their splat."""
         g = self.g
         return g.splats.join(df.select(*g.ids, g.item), g.ids)
 
-    def _points(self, df: DataFrame) -> DataFrame:
+    def _voted(self, df: DataFrame, masks: DataFrame, rule: str = "index") -> tuple[DataFrame, DataFrame]:
+        """Votes of the object's own masks per row, and the number of views that have one."""
         g = self.g
-        return df.select(*g.ids, *g.on, "x", "y", "z").distinct()
+        by_item = g.item in g.views.columns
+        seen = vo.masked_views(g.views, masks, self.keys) if by_item else vo.masked_views(g.views, masks, g.on, [g.item])
+        return vo.mask_votes(df, seen, masks, self.keys, g.ids, rule), vo.view_counts(seen, self.keys)
 
     def mask_vote(self, df: DataFrame, masks: DataFrame, frac: float) -> DataFrame:
-        g = self.g
-        seen = vo.masked_views(g.views, masks, g.on)
-        voted = vo.mask_votes(self._points(df), seen, masks, g.on, g.ids)
-        return stage(_keep(df, vo.keep_mask_votes(voted, vo.view_counts(seen, g.on), g.on, frac), g.ids))
+        """Rows with enough votes; three prompt terms or more lower the share."""
+        voted, counts = self._voted(df, masks)
+        prompts = None
+        if self.g.prompts is not None:
+            counts, prompts = counts.join(self.g.prompts, self.keys, "left"), F.col("n_prompts")
+        return stage(_keep(df, vo.keep_mask_votes(voted, counts, self.keys, frac, prompts), self.row))
 
     def wide(self, df: DataFrame) -> DataFrame:
         return self.mask_vote(df, self.g.wide_masks, self.g.wide_frac)
@@ -101,23 +116,21 @@ class Extraction:
 
     def box(self, df: DataFrame) -> DataFrame:
         g = self.g
-        voted = vo.box_votes(self._points(df), g.view_boxes, g.on, g.ids)
-        return stage(_keep(df, vo.keep_box_votes(voted, g.box_frac), g.ids))
+        voted = vo.box_votes(df, g.view_boxes, self.keys, g.ids)
+        return stage(_keep(df, vo.keep_box_votes(voted, g.box_frac), self.row))
 
     def inside(self, df: DataFrame) -> DataFrame:
         """Insideness, the guarded ladder of each object, and its strictest safe rung."""
         g = self.g
-        keys = [*g.on, g.item]
-        seen = vo.masked_views(g.views, g.wide_masks, g.on)
-        score = vo.insideness(vo.mask_votes(self._points(df), seen, g.wide_masks, g.on, g.ids)).select(*g.ids, "insideness")
-        scored = stage(df.join(score, g.ids))
+        score = vo.insideness(self._voted(df, g.wide_masks)[0]).select(*self.row, "insideness")
+        scored = stage(df.join(score, self.row))
         rungs = [(f"{t:.2f}", t) for t in k.SCORE_LADDER]
-        sweep = sel.threshold_sweep(scored, keys, rungs, lambda t: F.col("insideness") >= t)
+        sweep = sel.threshold_sweep(scored, self.keys, rungs, lambda t: F.col("insideness") >= t)
         sweep = sweep.withColumn("thresh", F.col("name").cast("double"))
-        labels = g.boxes.select(*keys, "label")
-        guard = stage(sel.collapse_guard(sel.ladder_by_label(sweep, labels, keys), keys))
-        pick = sel.rule_pick(guard, keys).join(guard.select(*keys, "rung", "thresh"), [*keys, "rung"])
-        out = scored.join(staged_small(pick.select(*keys, "thresh")), keys)
+        labels = g.boxes.select(*self.keys, "label")
+        guard = stage(sel.collapse_guard(sel.ladder_by_label(sweep, labels, self.keys), self.keys))
+        pick = sel.rule_pick(guard, self.keys).join(guard.select(*self.keys, "rung", "thresh"), [*self.keys, "rung"])
+        out = scored.join(staged_small(pick.select(*self.keys, "thresh")), self.keys)
         return out.where(F.col("insideness") >= F.col("thresh")).select(*df.columns)
 
     def destreak(self, df: DataFrame) -> DataFrame:
@@ -143,11 +156,9 @@ def extract_lamp(e: Extraction) -> DataFrame:
 
 def extract_tv(e: Extraction, frac: float = k.TV_VOTE_FRAC) -> DataFrame:
     """Rounded projection votes on the hull of each screen."""
-    g = e.g
-    df = e.hull(["tv"])
-    seen = vo.masked_views(g.views, g.wide_masks, g.on)
-    voted = vo.mask_votes(e._points(df), seen, g.wide_masks, g.on, g.ids, "round")
-    return _keep(df, vo.keep_mask_votes(voted, vo.view_counts(seen, g.on), g.on, frac, need_visible=False), g.ids)
+    df = e.hull(["tv"], carve=False)
+    voted, counts = e._voted(df, e.g.wide_masks, "round")
+    return _keep(df, vo.keep_mask_votes(voted, counts, e.keys, frac, need_visible=False), e.row)
 
 
 def extract_rug(seen: DataFrame, box_test: Column, siblings: DataFrame, keys: list[str], obj: str, ids: list[str]) -> DataFrame:
@@ -158,8 +169,8 @@ def extract_rug(seen: DataFrame, box_test: Column, siblings: DataFrame, keys: li
 def extract_art(hull: DataFrame, view_boxes: DataFrame, eyes: DataFrame, on: list[str], item: str, ids: list[str]) -> DataFrame:
     """Box votes on the hull, then the slab around the piece's own plane."""
     hull = stage(hull)
-    voted = vo.box_votes(hull.select(*ids, *on, "x", "y", "z").distinct(), view_boxes, on, ids, in_image=False)
-    kept = stage(_keep(hull, vo.keep_art_votes(voted), ids))
+    voted = vo.box_votes(hull, view_boxes, [*on, item], ids, in_image=False)
+    kept = stage(_keep(hull, vo.keep_art_votes(voted), [*ids, item]))
     return fl.wall_slab(kept, [item], fl.pca_normals(kept, [item], eyes))
 
 
