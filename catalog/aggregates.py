@@ -20,7 +20,7 @@ from motefield.operators import votes as vo
 from motefield.staging import stage
 
 from .cleaning import MAXS, OBJ, _BRIGHT, _S2, lg
-from .fixtures import mean, oracle, pct, table
+from .fixtures import mean, oracle, pct, table, hash_cte
 from .joins import (BOX_CTE, PART_CTE, S, _SCORE, _SUB, part_links, parts, resolve_cte, runs, scored, stage_splats, view_boxes,
                     views)
 from .registry import query
@@ -405,7 +405,15 @@ def dominant_yaw(spark, sf):
     return ft.dominant_yaw(cells, S, least=10)
 
 
-@query("plane_fit")
+@query("plane_fit", oracle(["splats"], "SELECT scene_id, b.a AS a, b.b AS b, b.c AS c, b.d AS d, b.inliers AS inliers FROM (SELECT scene_id, arg_max({'a': a, 'b': b, 'c': c, 'd': d, 'inliers': inliers}, (inliers, -try)) AS b FROM sco GROUP BY scene_id) AS q", ", ".join([
+  hash_cte("hs", "splats", KEY, 7), f"s1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY h, {ID}) AS q FROM hs) AS z WHERE q <= 192)",
+  hash_cte("h2", "s1", KEY, 8, "g"), f"""s2 AS (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY g, {ID}) - 1 AS r FROM h2),
+  tr AS (SELECT scene_id, r // 3 AS try, """ + ", ".join(f"max(CASE WHEN r % 3 = {i} THEN {a} END) AS {a}{i}" for a in "xyz" for i in range(3)) + """ FROM s2 GROUP BY scene_id, r // 3),
+  nr AS (SELECT *, (y1 - y0) * (z2 - z0) - (z1 - z0) * (y2 - y0) AS na, (z1 - z0) * (x2 - x0) - (x1 - x0) * (z2 - z0) AS nb, (x1 - x0) * (y2 - y0) - (y1 - y0) * (x2 - x0) AS nc FROM tr),
+  ln_ AS (SELECT *, sqrt(na * na + nb * nb + nc * nc) AS len, CASE WHEN nb < 0 THEN -1e0 ELSE 1e0 END AS sg FROM nr),
+  pn AS (SELECT scene_id, try, x0, y0, z0, na * sg / len AS a, nb * sg / len AS b, nc * sg / len AS c FROM ln_ WHERE len > 1e-12),
+  pd_ AS (SELECT *, -(a * x0 + b * y0 + c * z0) AS d FROM pn),
+  sco AS (SELECT p.scene_id, try, a, b, c, d, count(*) FILTER (WHERE abs(a * x + b * y + c * z + d) <= 0.05e0) AS inliers FROM pd_ AS p JOIN splats AS s ON s.scene_id = p.scene_id GROUP BY ALL)"""])))
 def plane_fit(spark, sf):
     return ft.plane_fit(splats(spark, sf), S, KEY)
 
@@ -461,7 +469,7 @@ def view_limit(spark, sf):
     return rk.top_rows(splats(spark, sf).select(*OBJ, "pk").distinct(), OBJ, ["pk"], 4)
 
 
-@query("point_sample")
+@query("point_sample", oracle(["splats"], f"SELECT {ID}, scene_id FROM (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY h, {ID}) AS r FROM hs) AS q WHERE r <= 5000", hash_cte("hs", "splats", KEY, 42)))
 def point_sample(spark, sf):
     return rk.sample_per_group(splats(spark, sf), S, 5000, KEY).select(*KEY, "scene_id")
 

@@ -201,3 +201,13 @@ def mean(v: str) -> str:
     low = f"(({rest} - floor({rest})) * 1048576e0)"
     whole, first, second = [f"CAST(sum(CAST(floor({x}) AS BIGINT)) AS DOUBLE)" for x in (v, rest, low)]
     return f"(({whole} + ({first} + {second} / 1048576e0) / 1048576e0) / count(*))"
+
+
+def hash_cte(name, source, ids, seed, add="h"):
+    """``source`` with the arithmetic hash of its ids as a column."""
+    ctes, last = [], f"{name}_0"
+    ctes.append(f"{last} AS (SELECT *, CAST({seed} AS BIGINT) AS {add} FROM {source})")
+    for n, i in enumerate([*ids, "1", "1"], 1):
+        ctes.append(f"{name}_{n} AS (SELECT * REPLACE (({add} * {add} + {add}) % 2147483647 AS {add}) FROM (SELECT * REPLACE (({add} * 48271 + {i}) % 2147483647 AS {add}) FROM {last}) AS q)")
+        last = f"{name}_{n}"
+    return ", ".join([*ctes, f"{name} AS (SELECT * FROM {last})"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..staging import small, stage, staged_small
 from .projection import project
-from .ranking import sample_per_group, top_rows
+from .ranking import even_hash, sample_per_group, top_rows
 from .voxels import exact_mean
 
 
@@ -54,7 +54,7 @@ def dominant_yaw(cells: DataFrame, keys: list[str], least: int = 200, lines: int
 def plane_fit(df: DataFrame, keys: list[str], ids: list[str], tries: int = 64, near: float = 0.05, seed: int = 7) -> DataFrame:
     """Floor plane by consensus: planes through seeded point triples, the one with most points near it."""
     pts = sample_per_group(df.select(*keys, *ids, "x", "y", "z"), keys, 3 * tries, ids, seed)
-    w = Window.partitionBy(*keys).orderBy(F.xxhash64(F.lit(seed + 1), *ids), *ids)
+    w = Window.partitionBy(*keys).orderBy(even_hash(ids, seed + 1), *ids)
     pts = pts.withColumn("_r", F.row_number().over(w) - 1).withColumns({"try": F.floor(F.col("_r") / 3), "_p": F.col("_r") % 3})
     tri = pts.groupBy(*keys, "try").agg(*[F.max(F.when(F.col("_p") == i, F.col(a).cast("double"))).alias(f"{a}{i}")
                                           for a in "xyz" for i in range(3)])

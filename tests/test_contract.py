@@ -17,7 +17,7 @@ def test_every_inventory_key_is_registered():
 
 def test_only_operators_without_sql_lack_a_check():
     own = set(entry.queries()) - set(entry.LLM_QUERIES)
-    assert own - set(entry.oracle_sql()) == {"pca_normal", "plane_fit", "point_sample", "extract_art"}
+    assert own - set(entry.oracle_sql()) == {"pca_normal", "extract_art"}
 
 
 def test_flagship(spark):
