@@ -7,10 +7,12 @@ and normalised, with ``PRIOR`` added to each piece and to the end of a document.
 probability of a text is the product over its words of the sum over all segmentations (see
 ``lattice``; white space only parts words) times that of one end.
 
-Every count covers all training documents.  Words meet in hash buckets as packed arrays: a
-bucket holds its distinct words once, how often training documents have them, and which
-documents have each how often.  A bucket adds up its part of each document's scores, so no
-table of words is ever sent to all tasks; only the weights of the fixed vocabulary are.
+Every count covers all training documents.  A slice of documents sends each of its distinct
+words once to the word's hash bucket, as packed arrays, and keeps which documents have it
+how often.  A bucket adds up training counts, scores its words once, and answers each slice
+for the words that it sent; the slice adds up its documents.  So all that moves grows with
+the text, and no table of words is sent to all tasks; only the weights of the fixed
+vocabulary are.
 
 Defined cases.  Text null or without words: the end alone.  ``doc_id`` null: scored, not
 held out, not learned from.  Rows with one ``doc_id`` are scored apart.  Bytes that no
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .common import bucket_count, by_bucket, joined, light, pack, runs, slices, unpack, words_of
+from .common import bucket_count, by_bucket, joined, light, pack, slices, unpack, words_of
 from .lattice import Pieces, read_vocabulary
 from .repeats import numbered
 
@@ -36,12 +38,13 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROUNDS = 4
 PRIOR = 0.1
 SMOOTHING = 0.1
-_SENT = "bucket int, keys binary, text binary, sizes binary, trained binary, docs binary, uid binary, tf binary"
+_SENT = "slice long, bucket int, keys binary, text binary, sizes binary, trained binary, docs binary, uid binary, tf binary"
+_MERGED = "bucket int, text binary, sizes binary, trained binary, slices binary, sent binary, words binary"
 
 
 def _send(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Distinct words of a slice by bucket, each with the documents that have it."""
-    names = ["bucket", "keys", "text", "sizes", "trained", "docs", "uid", "tf"]
+    names = [f.split()[0] for f in _SENT.split(", ")]
     for batch in slices(batches):
         uid, train = batch.column("uid").to_numpy(), batch.column("train").to_numpy(zero_copy_only=False)
         w = words_of(batch, lower=True)
@@ -57,25 +60,23 @@ def _send(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
             s, n = w.starts[first[src]], sizes[src]
             at = np.repeat(s - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
             mine = np.repeat(begin[src] - np.append(0, np.cumsum(docs[src]))[:-1], docs[src]) + np.arange(docs[src].sum())
-            rows.append((bucket, keys[src].tobytes(), w.data[at].tobytes(), pack(n), pack(trained[src]), pack(docs[src]), pack(uid[doc[mine]]), pack(tf[mine])))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int32() if i == 0 else pa.binary()) for i in range(8)], names=names)
+            rows.append((int(uid[0]), bucket, keys[src].tobytes(), w.data[at].tobytes(), pack(n), pack(trained[src]), pack(docs[src]), pack(uid[doc[mine]]), pack(tf[mine])))
+        types = [pa.int64(), pa.int32(), *[pa.binary()] * 7]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """One row per bucket: each distinct word once, and its documents."""
-    keys = joined(table.column("keys"), lambda b: np.frombuffer(b, np.uint64))[0].astype(np.uint64)
+    """One row per bucket: each distinct word once, and which of them each slice has sent, in its order."""
+    keys, row = joined(table.column("keys"), lambda b: np.frombuffer(b, np.uint64))
     text = np.frombuffer(b"".join(table.column("text").to_pylist()), np.uint8)
-    sizes, trained, docs, uid, tf = (joined(table.column(c), unpack)[0] for c in ("sizes", "trained", "docs", "uid", "tf"))
-    order = np.argsort(keys, kind="stable")
-    starts, _ = runs(keys[order])
-    word_at, doc_at = np.append(0, np.cumsum(sizes))[:-1], np.append(0, np.cumsum(docs))[:-1]
-    one = order[starts]
-    n, d = sizes[one], docs[order]
-    letters = np.repeat(word_at[one] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
-    mine = np.repeat(doc_at[order] - np.append(0, np.cumsum(d))[:-1], d) + np.arange(d.sum())
-    add = lambda v: np.add.reduceat(v[order], starts) if len(order) else v
-    return pa.table({"text": [text[letters].tobytes()], "sizes": [pack(n)], "trained": [pack(add(trained))], "docs": [pack(add(docs))],
-                     "uid": [pack(uid[mine])], "tf": [pack(tf[mine])]})
+    sizes, trained = (joined(table.column(c), unpack)[0] for c in ("sizes", "trained"))
+    _, one, word = np.unique(keys, return_index=True, return_inverse=True)
+    begin, n = np.append(0, np.cumsum(sizes))[:-1], sizes[one]
+    letters = np.repeat(begin[one] - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
+    total = np.bincount(word, trained, len(one)).astype(np.int64)
+    return pa.table({"bucket": table.column("bucket").slice(0, 1), "text": [text[letters].tobytes()], "sizes": [pack(n)], "trained": [pack(total)],
+                     "slices": [table.column("slice").to_numpy().astype(np.int64).tobytes()], "sent": [pack(np.bincount(row, minlength=table.num_rows))],
+                     "words": [pack(word)]})
 
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,20 +120,44 @@ def learn(words: DataFrame, documents: int, vocabulary: str = VOCABULARY, rounds
     return pieces, scores, float(end)
 
 
-def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    """A bucket's part of each document's sums."""
+def _answer(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    """To each slice, the training counts and the log10 probabilities of the words it sent to a bucket."""
     pieces, scores = model.value
     for batch in batches:
         for row in batch.to_pylist():
-            n, c, docs, uid, tf = (unpack(row[k]) for k in ("sizes", "trained", "docs", "uid", "tf"))
+            n, c, sent, word = (unpack(row[k]) for k in ("sizes", "trained", "sent", "words"))
             lattice = pieces.log_probability(np.frombuffer(row["text"], np.uint8), n, scores) / np.log(10)
-            base = np.log10(c + SMOOTHING)
-            ids, at = np.unique(uid, return_inverse=True)
-            add = lambda v: np.bincount(at, np.repeat(v, docs) * tf, len(ids))
-            # whole billionths, so that the order of additions does not show
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.bincount(at, tf, len(ids)).astype(np.int64)), pa.array(add(c > 0).astype(np.int64)),
-                                              pa.array(np.rint(add(base) * 1e9).astype(np.int64)), pa.array(np.rint(add(lattice) * 1e9).astype(np.int64))],
-                                             names=["uid", "words", "known", "base", "lattice"])
+            ends = np.append(0, np.cumsum(sent))
+            for lo in range(0, len(sent), 256):
+                part = [word[a:b] for a, b in zip(ends[lo:lo + 256], ends[lo + 1:lo + 257])]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.frombuffer(row["slices"], np.int64)[lo:lo + 256]), pa.array([row["bucket"]] * len(part), pa.int32()), pa.array([None] * len(part), pa.binary()),
+                    pa.array([None] * len(part), pa.binary()), pa.array([None] * len(part), pa.binary()),
+                    pa.array([pack(c[w]) for w in part], pa.binary()), pa.array([lattice[w].tobytes() for w in part], pa.binary())], names=_PARTS)
+
+
+_PARTS = ["slice", "bucket", "docs", "uid", "tf", "counts", "lattice"]
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """Sums of the documents of one slice."""
+    rows = table.to_pylist()
+    answers = {r["bucket"]: r for r in rows if r["counts"] is not None}
+    asked = [r for r in rows if r["counts"] is None]
+    uid, tf, count, lattice = [], [], [], []
+    for r in asked:
+        docs, a = unpack(r["docs"]), answers[r["bucket"]]
+        uid.append(unpack(r["uid"]))
+        tf.append(unpack(r["tf"]))
+        count.append(np.repeat(unpack(a["counts"]), docs))
+        lattice.append(np.repeat(np.frombuffer(a["lattice"]), docs))
+    uid, tf, count, lattice = (np.concatenate(x) for x in (uid, tf, count, lattice))
+    ids, at = np.unique(uid, return_inverse=True)
+    order = np.lexsort((lattice, tf, at))                          # additions in an order of their own, however slices came
+    at, tf, count, lattice = at[order], tf[order], count[order], lattice[order]
+    add = lambda v: np.bincount(at, v * tf, len(ids))
+    return pa.table({"uid": ids, "words": add(1.0).astype(np.int64), "known": add(count > 0).astype(np.int64),
+                     "base": add(np.log10(count + SMOOTHING)), "lattice": add(lattice)})
 
 
 def held_out():
@@ -145,16 +170,17 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -
     docs = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     train = F.col("doc_id").isNotNull() & ~held_out()
     buckets = bucket_count(docs)
-    words = stage(docs.select(F.col("__uid").alias("uid"), "text", train.alias("train")).where("text is not null")
-                  .mapInArrow(lambda it: _send(it, buckets), _SENT).groupBy("bucket")
-                  .applyInArrow(light(_merge), "text binary, sizes binary, trained binary, docs binary, uid binary, tf binary"))
+    sent = stage(docs.select(F.col("__uid").alias("uid"), "text", train.alias("train")).where("text is not null")
+                 .mapInArrow(lambda it: _send(it, buckets), _SENT))
+    words = stage(sent.select("slice", "bucket", "keys", "text", "sizes", "trained").groupBy("bucket").applyInArrow(light(_merge), _MERGED))
     documents = docs.where(train).count()
     sums = words.select("trained").mapInArrow(_totals, "tokens long, kinds long").agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     tokens, kinds = sums[0] + documents, sums[1] + (documents > 0)
     pieces, scores, end = learn(words, documents, vocabulary, rounds)
     model = spark.sparkContext.broadcast((pieces, scores))
-    parts = (words.mapInArrow(lambda it: _score(it, model), "uid long, words long, known long, base long, lattice long")
-             .groupBy("uid").agg(*[F.sum(c).alias(c) for c in ("words", "known", "base", "lattice")]))
+    answers = words.mapInArrow(lambda it: _answer(it, model), "slice long, bucket int, docs binary, uid binary, tf binary, counts binary, lattice binary")
+    asked = sent.select("slice", "bucket", "docs", "uid", "tf", *[F.lit(None).cast("binary").alias(c) for c in ("counts", "lattice")])
+    parts = asked.unionByName(answers).groupBy("slice").applyInArrow(light(_add), "uid long, words long, known long, base double, lattice double")
     out = docs.select("__uid", "doc_id").join(parts.withColumnRenamed("uid", "__uid"), "__uid", "left")
     have = lambda c: F.coalesce(F.col(c), F.lit(0))
     n = have("words") + 1
@@ -162,5 +188,5 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int = ROUNDS) -
     share = float(np.log10(tokens + SMOOTHING * (kinds + 1)))
     return out.select("doc_id", held_out().alias("held_out"), n.alias("n_tokens"), (have("known") + F.lit(int(documents > 0))).alias("n_known"),
                       F.lit(tokens).cast("long").alias("train_tokens"),
-                      (F.lit(None).cast("double") if not tokens else have("base") / 1e9 + F.lit(final) - n * F.lit(share)).alias("base_score"),
-                      (have("lattice") / 1e9 + F.lit(end / np.log(10))).alias("score"))
+                      (F.lit(None).cast("double") if not tokens else have("base") + F.lit(final) - n * F.lit(share)).alias("base_score"),
+                      (have("lattice") + F.lit(end / np.log(10))).alias("score"))
