@@ -333,6 +333,7 @@ def near_groups(docs: DataFrame, n: int = N, tile_rows: int = TILE_ROWS) -> Data
     ties = (sent.where(F.col("kind") == TIE).groupBy("bucket").applyInArrow(light(_tie), "u long, v long")
             .unionByName(sent.where(F.col("kind") == EDGE).select("a", "b").mapInArrow(_edges, "u long, v long")))
     first = sizes.where("n > 0").groupBy("signature", "n").agg(F.min("uid").alias("u"), F.count("*").alias("copies")).where("copies > 1")
+    first = small(stage(first))              # of its own, so that a join with very many copies can be split
     copies = stage(sizes.join(first, ["signature", "n"]).where("uid <> u").select("u", F.col("uid").alias("v")))
     blocks = components(ties.unionByName(copies))
     nodes = blocks.withColumnRenamed("node", "uid").join(copies, F.col("uid") == F.col("v"), "left_anti").join(sizes.select("uid", "n"), "uid")
