@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import size_in_bytes, small, stage
+from ..staging import attach, size_in_bytes, small, stage
 
 SLICE_BYTES = 3 << 19
 BUCKET_BYTES = 4 << 20
@@ -228,9 +228,9 @@ def components(edges: DataFrame) -> DataFrame:
     """Node and component (its least node) of every node of ``edges`` (two long columns).
 
     Rounds of large and small stars (each node hands its larger neighbours, then itself, to
-    its least neighbour) run until the edges stay the same.  Each round is written to the shared folder.  No edge list
-    leaves the executors; a node with very many neighbours is met by a combined minimum
-    and a join that Spark may split.
+    its least neighbour) run until the edges stay the same.  Each half is written to the shared folder.  No edge list
+    leaves the executors; minima are combined before they move, and go back to the edges by
+    ``attach``, so a node with very many neighbours is no single task's.
     """
     spark = edges.sparkSession
     a, b = edges.columns
@@ -242,11 +242,11 @@ def components(edges: DataFrame) -> DataFrame:
             break
         last = size
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        e = both.where("v > u").join(least, "u").select(F.col("v"), F.col("m").alias("u")).where("u <> v").distinct()
-        least = e.groupBy("v").agg(F.min("u").alias("m"))
-        e = (e.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u <> v")
-             .unionByName(least.select("v", F.col("m").alias("u"))).select("u", "v").distinct())
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("w"))
+        e = stage(attach(both.where("v > u"), least, ["u"], "w").select(F.col("m").alias("u"), "v").where("u <> v").distinct())
+        least = e.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("w"))
+        e = (attach(e, least, ["v"], "w").select(F.col("m").alias("u"), F.col("u").alias("v")).where("u <> v")
+             .unionByName(least.select(F.col("m").alias("u"), "v")).distinct())
         e = stage(e)
     nodes = e.groupBy("v").agg(F.min("u").alias("component")).withColumnRenamed("v", "node")
     roots = e.select(F.col("u").alias("node")).distinct().join(nodes, "node", "left_anti")
