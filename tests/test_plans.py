@@ -53,7 +53,7 @@ def test_box_votes_fold_views_before_the_only_shuffle(spark, tmp_path):
     df = vo.box_votes(s, views, ["scene_id"], ["id"])
     steps = re.findall(r"\+- (HashAggregate|Exchange|BroadcastHashJoin)\b", plan(df).split("\n\n")[0])
     assert steps == ["HashAggregate", "Exchange", "HashAggregate", "BroadcastHashJoin"]
-    p = s.toPandas()
+    p = s.toPandas().set_index("id").sort_index()
     depth = 5 - p.z
     u, v = 50 * p.x / depth + 50, 50 * p.y / depth + 40
     seen = (depth > 0) & (u >= 0) & (u < 100) & (v >= 0) & (v < 80)
