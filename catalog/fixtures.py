@@ -88,12 +88,14 @@ SELECT item_id, k, scene_id,
   {_label_case('li')} AS label
 FROM b""")
 
-# masks of each item: the scene's runs near its box, without one view in eight; boxes of each item in two views of three
-TEXTS["item_masks"] = (["items", "mask_runs"], """
-SELECT i.item_id, m.scene_id, m.view_id, m.y, CAST(greatest(m.x0, i.lx) AS INT) AS x0, CAST(least(m.x1 + 90, i.hx) AS INT) AS x1, m.prompt_id
-FROM mask_runs AS m INNER JOIN (SELECT item_id, k, scene_id, CAST(floor(bx0 * 192 / 1000) AS INT) - 70 AS lx, CAST(floor(by0 * 108 / 1000) AS INT) - 45 AS ly,
+# masks of each item: the extents of the scene's runs near its box, without one view in eight; boxes of each item in two views of three
+TEXTS["mask_spans"] = (["mask_runs"], """
+SELECT scene_id, view_id, y, prompt_id, min(x0) AS x0, max(x1) AS x1 FROM mask_runs GROUP BY scene_id, view_id, y, prompt_id""")
+TEXTS["item_masks"] = (["items", "mask_spans"], """
+SELECT i.item_id, m.scene_id, m.view_id, m.y, CAST(greatest(m.x0, i.lx) AS INT) AS x0, CAST(least(m.x1, i.hx) AS INT) AS x1, m.prompt_id
+FROM mask_spans AS m INNER JOIN (SELECT item_id, k, scene_id, CAST(floor(bx0 * 192 / 1000) AS INT) - 70 AS lx, CAST(floor(by0 * 108 / 1000) AS INT) - 45 AS ly,
     least(191, CAST(floor(bx1 * 192 / 1000) AS INT) + 70) AS hx, CAST(floor(by1 * 108 / 1000) AS INT) + 45 AS hy FROM items) AS i
-  ON m.scene_id = i.scene_id AND (m.view_id + i.k) % 8 <> 0 AND m.y >= i.ly AND m.y <= i.hy AND m.x0 <= i.hx AND m.x1 + 90 >= i.lx""")
+  ON m.scene_id = i.scene_id AND (m.view_id + i.k) % 8 <> 0 AND m.y >= i.ly AND m.y <= i.hy AND m.x0 <= i.hx AND m.x1 >= i.lx""")
 TEXTS["item_views"] = (["items"], """
 SELECT i.item_id, i.k, i.scene_id, CAST(v.view_id AS INT) AS view_id FROM items AS i
 INNER JOIN (VALUES (0), (1), (2), (3), (4), (5), (6), (7)) AS v(view_id) ON (v.view_id + i.k) % 3 <> 0""")
