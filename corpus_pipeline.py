@@ -41,8 +41,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Padded batches from optimal length buckets."""
-    return lengths.batch(docs)
+    """Padded batches from optimal length buckets; in each bucket the documents keep the order of the mixture."""
+    return lengths.batch(docs, keep_order=True)
 
 
 STAGES = [("language id", language_id), ("n-gram Jaccard join", near_duplicates), ("substring dedup", substring_dedup),

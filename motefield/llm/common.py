@@ -16,6 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -255,18 +256,40 @@ def components(edges: DataFrame) -> DataFrame:
 
 # ---- running sums
 
-def running(df: DataFrame, group: list[str], value: str, name: str, rows: int = 2048) -> DataFrame:
+def as_read(df: DataFrame) -> DataFrame:
+    """``df`` with the order in which its files hold it: ``__file``, and ``__at``, the row's position there.
+
+    Files come by the number that Spark gives the parts of a write, then by path; other
+    files by path.  A table that is not read from Parquet files is written down first.
+    """
+    try:
+        df.select("_metadata.row_index")
+    except AnalysisException:
+        df = stage(df)
+    path = F.col("_metadata.file_path")
+    part = F.regexp_extract(path, r"/part-(\d{1,10})-[^/]*$", 1)
+    return df.select("*", F.concat(F.lpad(part, 10, "0"), path).alias("__file"), F.col("_metadata.row_index").alias("__at"))
+
+
+def running(df: DataFrame, group: list[str], value: str, name: str, rows: int = 2048, order: tuple[str, str] | None = None) -> DataFrame:
     """``df`` with ``name``: the sum of ``value`` over the rows of the group that come before, and ``__h``, the order.
 
-    The order is that of a hash of the whole row, so equal rows may stand in either order.
-    The hash's leading bits cut each group into ranges of about ``rows`` rows; sums of ranges
-    and of stretches of ranges are added up first, so no window holds a whole group.  Nulls
-    in the group columns make a group of their own.
+    The order is that of a hash of the whole row, so equal rows may stand in either order;
+    or that of the two columns ``order``, a file and a row's position in it (see ``as_read``).
+    The hash's leading bits, or the positions of a file, cut each group into ranges of about
+    ``rows`` rows; sums of ranges and of stretches of ranges (or files) are added up first, so
+    no window holds a whole group.  Nulls in the group columns make a group of their own.
     """
-    bits = max(0, int(df.count() // rows).bit_length())
-    high = F.shiftright(F.col("__h"), 64 - bits) if bits else F.lit(0).cast("long")
-    df = df.withColumn("__h", F.xxhash64(F.lit(29), *df.columns)).withColumn("__g", high)
-    sums = stage(df.groupBy(*group, "__g").agg(F.sum(value).alias("__s")).withColumn("__gg", F.shiftright(F.col("__g"), bits // 2)))
+    if order:
+        file, at = order
+        df = df.withColumn("__h", F.col(at)).withColumn("__g", F.struct(F.col(file).alias("file"), F.expr(f"{at} div {int(rows)}").alias("range")))
+        wider = F.col("__g.file")
+    else:
+        bits = max(0, int(df.count() // rows).bit_length())
+        high = F.shiftright(F.col("__h"), 64 - bits) if bits else F.lit(0).cast("long")
+        df = df.withColumn("__h", F.xxhash64(F.lit(29), *df.columns)).withColumn("__g", high)
+        wider = F.shiftright(F.col("__g"), bits // 2)
+    sums = stage(df.groupBy(*group, "__g").agg(F.sum(value).alias("__s")).withColumn("__gg", wider))
     before = lambda keys, order: F.coalesce(F.sum("__s").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     upper = sums.groupBy(*group, "__gg").agg(F.sum("__s").alias("__s")).withColumn("__up", before(group, "__gg"))
     lower = sums.withColumn("__low", before([*group, "__gg"], "__g"))

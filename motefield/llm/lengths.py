@@ -7,7 +7,8 @@ bounds that minimise padding (a document is padded to its bucket's bound).  Insi
 documents fill batches of as many rows as the token budget holds, one at least.
 
 Rows get their place in a bucket from running sums over ranges of a row hash, so a bucket
-with a third of all documents is no single task's.
+with a third of all documents is no single task's.  With ``keep_order`` the ranges are those
+of the files as read: each bucket keeps the order of the table, that of a mixture for one.
 
 Defined cases.  Text null or without words: length 1.  Equal rows are separate documents.
 A document longer than the budget is a batch of its own.  An empty table has no buckets.
@@ -19,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import running, word_count
+from .common import as_read, running, word_count
 
 BUCKETS = 16
 BATCH_TOKENS = 16384
@@ -80,17 +81,17 @@ def histogram(measured: DataFrame, length: str) -> tuple[np.ndarray, np.ndarray]
     return found.column("top").to_numpy(), found.column("rows").to_numpy()
 
 
-def batch(docs: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
+def batch(docs: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOKENS, keep_order: bool = False) -> DataFrame:
     """``docs`` with ``pack_tokens``, ``pack_length`` (its bucket's bound), ``pack_batch`` and ``pack_row``.
 
     A batch is named by its bucket's bound and its number there.  Columns of these names are replaced.
     """
     names = ["pack_tokens", "pack_length", "pack_batch", "pack_row"]
     docs = docs.drop(*names)
-    measured = docs.withColumn("pack_tokens", word_count() + 1)
+    measured = (as_read(docs) if keep_order else docs).withColumn("pack_tokens", word_count() + 1)
     bounds = best_bounds(*histogram(measured, "pack_tokens"), buckets)
     listed = ", ".join(f"{b}L" for b in bounds) or "1L"
     measured = measured.withColumn("pack_length", F.expr(f"filter(array({listed}), b -> b >= pack_tokens)[0]")).withColumn("__one", F.lit(1).cast("long"))
-    placed = running(measured, ["pack_length"], "__one", "__place")
+    placed = running(measured, ["pack_length"], "__one", "__place", order=("__file", "__at") if keep_order else None)
     rows = f"greatest(1L, {int(batch_tokens)} div pack_length)"
     return placed.select(*docs.columns, "pack_tokens", "pack_length", F.expr(f"__place div {rows}").alias("pack_batch"), F.expr(f"__place % {rows}").alias("pack_row"))

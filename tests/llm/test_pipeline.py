@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from motefield.llm import mixing
@@ -39,6 +40,23 @@ def test_stages_against_plain_versions(spark, tmp_path):
     assert all(r.pack_tokens == len(WORD.findall(r.text)) + 1 <= r.pack_length for r in rows[5])
 
 
+def test_batches_follow_the_mixture(spark, side, tmp_path):
+    rows = [(i, " ".join(["w"] * (1 + i % 3)), "en", "large", 0) for i in range(3000)] + [(9000 + i, "s s", "en", "small", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = mixing.in_order(mixing.mix(docs, weights={"large": 10, "small": 1}, block_tokens=64), 12)
+    mixed.select(*docs.columns[:-1], F.col("mix_slot").alias("n_chars")).write.parquet(f"{tmp_path}/mixed")     # n_chars carries the slot
+    got = cp.pack(spark, spark.read.parquet(f"{tmp_path}/mixed"), SF).toPandas()
+    assert len(got) == mixed.count() and got[got.source == "small"].doc_id.duplicated().any()
+    for length, part in got.groupby("pack_length"):
+        part = part.sort_values(["pack_batch", "pack_row"])
+        per = max(1, 16384 // length)
+        assert (part.pack_batch * per + part.pack_row).tolist() == list(range(len(part)))
+        assert part.n_chars.is_monotonic_increasing and part.n_chars.nunique() > 5
+    # a table that is no files
+    plain = cp.pack(spark, spark.createDataFrame([(i, "a b", None, None, 0) for i in range(40)], docs.schema).repartitionByRange(3, "doc_id"), SF)
+    assert [r.doc_id for r in plain.orderBy("pack_batch", "pack_row").collect()] == list(range(40))
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (None, "words " * 40, None, None, 3), (3, "a b c", "en", "s", 5)]])
 def test_odd_tables(spark, tmp_path, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
