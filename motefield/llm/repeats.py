@@ -17,7 +17,7 @@ there, so neither copies nor common passages pile up in a bucket.
 
 Defined cases.  Text null or without words: nothing to remove.  ``doc_id`` null: the row is
 neither compared nor changed.  A repeated ``doc_id``: its rows do not remove words from each
-other.  Equality is that of 70-bit or longer hashes of the word sequence.
+other, and each loses what a smaller one has.  Equality is that of 70-bit or longer hashes of the word sequence.
 """
 
 from __future__ import annotations
@@ -105,8 +105,12 @@ def _probe(batches: Iterator[pa.RecordBatch], window: int, block: int, buckets:
             if len(shared):      # several documents of this slice: answered here
                 entry = np.repeat(low != high, sizes)
                 rows += _spread(HIT, uid[of[src[entry]]], np.zeros(entry.sum(), np.int64), _fold(bucket, key[entry]), buckets)
-            lowest = src[starts]                      # one row of the run stands for it
-            rows.append((ENTRY, bucket, pack_sorted(key[starts]), pack(low), pack(uid[of[lowest]]), np.packbits(flag).tobytes()))
+            # one row of the run stands for it; where all rows have one doc_id, which may be repeated, each of them asks
+            first = np.diff(of[src], prepend=-1) != 0
+            first &= np.repeat(low == high, sizes)
+            first[starts] = True
+            run = np.repeat(np.arange(len(starts)), sizes)[first]
+            rows.append((ENTRY, bucket, pack_sorted(key[first]), pack(low[run]), pack(uid[of[src[first]]]), np.packbits(flag[run]).tobytes()))
         yield _table(rows)
 
 

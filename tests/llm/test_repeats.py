@@ -68,6 +68,18 @@ def test_repeated_and_null_ids_extra_columns_and_texts(spark):
     assert got == want
 
 
+def test_rows_of_one_id_apart_from_the_smaller_document(spark):
+    p, q = (" ".join(f"{c}{i}" for i in range(30)) for c in "pq")
+    rows = [(9, f"x y {p} z"), (9, f"{q} other {p}"), (9, f"x y {p} z"), (1, f"a {p} b"), (1, f"a {p} b"), (2, f"c {q}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")      # the rows of 9 in one slice, the smaller documents in another
+    try:
+        got = sorted((r.doc_id, r.n_words, r.n_removed) for r in repeat_digest(df).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == sorted((d, n, g) for d, n, g, _ in brute(rows)) == [(1, 32, 0), (1, 32, 0), (2, 31, 0), (9, 33, 30), (9, 33, 30), (9, 61, 60)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert repeat_digest(df).count() == 0 and remove_repeats(df).columns == ["doc_id", "text", "n_words", "n_removed"]
