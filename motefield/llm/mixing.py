@@ -7,10 +7,12 @@ due by ``ceil((j + 1) / w)``.  In every slot the released block with the earlies
 goes out.  With weights that add up to one this meets every deadline, so after any number
 of slots each source is less than one block away from its share.
 
-Weights are whole numbers of ``slots``-ths (largest remainders, one at least).  The schedule
-then repeats after ``slots`` slots, in which source i has exactly a_i blocks: that one period,
-a table of ``slots`` rows whatever the size of the corpus, is all that is scheduled on the
-driver, and the slot of any block follows from its number.
+Weights are taken exactly, as whole parts of their sum (a float is a fraction), so windows
+follow the given weights however long the mixture is.  The driver schedules the whole
+horizon, one block a slot, and writes it to the shared folder as it goes: it holds about
+``slots`` slots, at least one stretch of blocks a source, and never a document.  The table
+has a row for each ``STRETCH`` blocks of a source, with their slots as arrays, and is
+broadcast while it measures small.
 
 ``repeat``: the mixture lasts until the source that is largest for its weight has gone out
 once; sources that end sooner start again, so every document appears at least once and the
@@ -26,14 +28,23 @@ separate documents.  More than ``MAX_SOURCES`` sources: an error.
 from __future__ import annotations
 
 import heapq
-
-from pyspark.sql import DataFrame
+import math
+import uuid
+from array import array
+from collections.abc import Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..staging import small, staging_dir
 from .common import running, word_count
 
 BLOCK_TOKENS = 4096
-SLOTS = 4096
+SLOTS = 1 << 20
+STRETCH = 1024
 POWER = 0.9
 MAX_SOURCES = 1 << 16
 
@@ -49,25 +60,67 @@ def whole_weights(weights: list[float], slots: int) -> list[int]:
     return [p + 1 for p in parts]
 
 
-def one_period(parts: list[int]) -> list[tuple[int, int, int]]:
-    """(source, block, slot) of one period by earliest deadline first."""
-    slots = sum(parts)
-    release = lambda i, j: j * slots // parts[i]
-    deadline = lambda i, j: -((j + 1) * slots // -parts[i])
-    waiting = [(0, i, 0) for i in range(len(parts))]      # by release
-    ready: list[tuple[int, int, int]] = []                # by deadline
-    out = []
-    for slot in range(slots):
+def exact_weights(weights: list[float]) -> list[int]:
+    """Whole numbers, as small as can be, whose ratios are exactly those of ``weights``."""
+    exact = [Fraction(w) for w in weights]
+    under = math.lcm(*[e.denominator for e in exact])
+    parts = [int(e * under) for e in exact]
+    shared = math.gcd(*parts) or 1
+    return [p // shared for p in parts]
+
+
+def schedule(parts: list[int], horizon: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source, block, slot, release, deadline) of ``horizon`` slots by earliest deadline first."""
+    total = sum(parts)
+    waiting = [(0, i, 0) for i in range(len(parts)) if parts[i] > 0]      # by release
+    ready: list[tuple[int, int, int, int]] = []                           # by deadline
+    for slot in range(horizon):
         while waiting and waiting[0][0] <= slot:
-            _, i, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (deadline(i, j), i, j))
-        due, i, j = heapq.heappop(ready)
+            release, i, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-((j + 1) * total // -parts[i]), i, j, release))
+        due, i, j, release = heapq.heappop(ready)
         if due <= slot:
             raise AssertionError("a deadline was missed")
-        out.append((i, j, slot))
-        if j + 1 < parts[i]:
-            heapq.heappush(waiting, (release(i, j + 1), i, j + 1))
-    return out
+        yield i, j, slot, release, due
+        heapq.heappush(waiting, ((j + 1) * total // parts[i], i, j + 1))
+
+
+def one_period(parts: list[int]) -> list[tuple[int, int, int]]:
+    """(source, block, slot) of the slots after which the schedule repeats."""
+    return [row[:3] for row in schedule(parts, sum(parts))]
+
+
+_STRETCHES = "i int, __stretch long, __slot array<long>, __release array<long>, __deadline array<long>"
+
+
+def stretches(spark: SparkSession, parts: list[int], horizon: int, slots: int) -> DataFrame:
+    """The schedule, a row for ``STRETCH`` blocks of a source, in files of about ``slots`` slots."""
+    path = f"{staging_dir(spark)}/schedule-{uuid.uuid4().hex}"
+    times = lambda: tuple(array("q") for _ in range(3))
+    open_, ended, done = [times() for _ in parts], [0] * len(parts), []
+
+    def write(rows: list) -> None:
+        offsets = pa.array(np.append(0, np.cumsum([len(t[0]) for _, _, t in rows])).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.frombuffer(t[c], np.int64) for _, _, t in rows]))) for c in range(3)]
+        table = pa.table([pa.array([i for i, _, _ in rows], pa.int32()), pa.array([s for _, s, _ in rows], pa.int64()), *lists],
+                         names=["i", "__stretch", "__slot", "__release", "__deadline"])
+        spark.createDataFrame(table, _STRETCHES).write.mode("append").parquet(path)
+
+    for i, j, *at in schedule(parts, horizon):
+        for column, value in zip(open_[i], at):
+            column.append(value)
+        if (j + 1) % STRETCH == 0:
+            done.append((i, ended[i], open_[i]))
+            open_[i], ended[i] = times(), ended[i] + 1
+            if len(done) * STRETCH >= slots:
+                write(done)
+                done = []
+    done += [(i, ended[i], t) for i, t in enumerate(open_) if len(t[0])]
+    if done:
+        write(done)
+    else:
+        spark.createDataFrame([], _STRETCHES).write.mode("append").parquet(path)
+    return spark.read.schema(_STRETCHES).parquet(path)
 
 
 def mix(docs: DataFrame, weights: dict | None = None, power: float = POWER, block_tokens: int = BLOCK_TOKENS,
@@ -87,25 +140,23 @@ def mix(docs: DataFrame, weights: dict | None = None, power: float = POWER, bloc
     if weights is None:
         weights = {r.source: max(1, r.words) ** power for r in found}
     found = sorted((r for r in found if weights.get(r.source, 0) > 0), key=lambda r: (r.source is None, r.source))
-    slots = max(slots, 16 * len(found))
-    parts = whole_weights([weights[r.source] for r in found], slots) if found else []
+    parts = exact_weights([weights[r.source] for r in found]) if found else []
+    total = sum(parts)
     blocks = [max(1, -(-r.words // block_tokens)) for r in found]
-    horizon = max((-(-n * slots // a) for n, a in zip(blocks, parts)), default=0)
-    table = [(r.source, i, a, n, (-(-a * horizon // slots) - 1) // n if repeat else 0) for i, (r, a, n) in enumerate(zip(found, parts, blocks))]
-    sources = spark.createDataFrame(table, "source string, i int, a long, n long, again long")
-    period = spark.createDataFrame(one_period(parts), "i int, k long, at long")
+    horizon = max((-(-n * total // a) for n, a in zip(blocks, parts)), default=0)
+    table = [(r.source, i, n, (-(-a * horizon // total) - 1) // n if repeat else 0) for i, (r, a, n) in enumerate(zip(found, parts, blocks))]
+    sources = spark.createDataFrame(table, "source string, i int, n long, again long")
+    planned = small(stretches(spark, parts, horizon, slots))
 
     placed = running(counted, ["source"], "mix_tokens", "mix_offset")
     own = placed.alias("d").join(F.broadcast(sources).alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-    own = own.select("d.*", "s.i", "s.a", "s.n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s.again"))).alias("mix_epoch"))
+    own = own.select("d.*", "s.i", "s.n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s.again"))).alias("mix_epoch"))
     block = F.least(F.expr(f"mix_offset div {int(block_tokens)}"), F.col("n") - 1) + F.col("mix_epoch") * F.col("n")
-    own = own.withColumn("mix_block", block).withColumn("k", F.col("mix_block") % F.col("a"))
-    out = own.join(F.broadcast(period), ["i", "k"])
-    out = (out.withColumn("mix_slot", F.expr(f"(mix_block div a) * {slots} + at"))
-           .withColumn("mix_release", F.expr(f"(mix_block * {slots}) div a"))
-           .withColumn("mix_deadline", F.expr(f"((mix_block + 1) * {slots} + a - 1) div a")))
-    if repeat:
-        out = out.where(F.col("mix_slot") < horizon)
+    own = own.withColumn("mix_block", block).withColumn("__stretch", F.expr(f"mix_block div {STRETCH}"))
+    out = own.join(planned, ["i", "__stretch"])
+    for c in ("slot", "release", "deadline"):
+        out = out.withColumn(f"mix_{c}", F.get(F.col(f"__{c}"), (F.col("mix_block") % STRETCH).cast("int")))
+    out = out.where("mix_slot is not null")      # blocks beyond the horizon
     return out.select(*docs.columns, *names)
 
 

@@ -1,6 +1,8 @@
 import itertools
+import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -41,6 +43,26 @@ def test_one_period_meets_every_window_and_share():
         assert sum(a) == q and (seen == a).all()
 
 
+def test_shares_are_those_of_the_given_weights_over_the_whole_horizon(spark, side):
+    weights = {"hot": 0.3, "rare": 1e-3, "b": 0.5, None: 0.199}
+    rows = [(i, "w w", "hot") for i in range(6000)] + [(9000 + i, "w w", s) for i, s in enumerate(["rare", "rare", "b", None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df, weights=weights, block_tokens=2, slots=2048).select("source", "mix_slot", "mix_release", "mix_deadline").toPandas().sort_values("mix_slot")
+    horizon = math.ceil(6000 * sum(map(Fraction, weights.values())) / Fraction(0.3))
+    assert got.mix_slot.tolist() == list(range(horizon))       # every document is one block
+    assert (got.mix_release <= got.mix_slot).all() and (got.mix_slot < got.mix_deadline).all()
+    for s, w in weights.items():
+        seen = (got.source.isna() if s is None else got.source == s).cumsum()
+        share = Fraction(w) / sum(map(Fraction, weights.values()))
+        assert max(abs(n - share * (slot + 1)) for n, slot in zip(seen.tolist(), got.mix_slot.tolist())) < 1
+
+
+def test_exact_weights():
+    assert mixing.exact_weights([3, 1]) == [3, 1] and mixing.exact_weights([0.5, 0.25, 0.125]) == [4, 2, 1]
+    w = [0.3, 1e-4, 7.5, 1e-9]
+    assert all(Fraction(a, sum(mixing.exact_weights(w))) == Fraction(x) / sum(map(Fraction, w)) for a, x in zip(mixing.exact_weights(w), w))
+
+
 @pytest.mark.parametrize("repeat", [True, False])
 def test_mixture(spark, side, repeat):
     rows = texts()
