@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cosine, jaccard, language, lengths, likelihood, maxscore, mixing, preferences, repeats, tokens
+from . import (alignment, cosine, jaccard, language, lengths, likelihood, maxscore, mixing, pieces, preferences, repeats,
+               spelling, tokens)
 
 QUERIES: dict = {}
 CHECKS: dict = {}
@@ -135,3 +136,37 @@ def op9(spark, sf_dir):
     from embeddings e left join n using (vec_id) left join reach using (vec_id)""")
 def op10(spark, sf_dir):
     return cosine.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op11_token_alignment")
+def op11(spark, sf_dir):
+    return alignment.alignment_digest(documents(spark, sf_dir))
+
+
+@query("op12_piece_codec")
+def op12(spark, sf_dir):
+    return pieces.codec_digest(documents(spark, sf_dir))
+
+
+@query("op13_spelling_variants", """
+    with recursive crc as (select list(c order by i) t from (select i, list_reduce([i] || range(8), lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) c
+                                                   from (select unnest(range(256)) i))),
+    runs as (select cast(doc_id as bigint) doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) run from documents),
+    r as (select coalesce(cast(doc_id as varchar), '') id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') run, count(*) n
+          from runs where length(run) >= 6 group by all),
+    b as (select run, n, flatten(list_transform(string_split(id || ':' || run, ''), lambda c: case when unicode(c) < 128 then [unicode(c)]
+                                     else [192 + unicode(c) // 64, 128 + unicode(c) % 64] end)) bytes from r),
+    h as (select run, n, xor(list_reduce([4294967295] || bytes, lambda c, x: xor(c >> 8, t[xor(c, x) % 256 + 1])), 4294967295) h from b, crc),
+    w as (select case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end word, n from h),
+    v as (select word, cast(sum(n) as bigint) n from w where length(word) >= 6 group by word having sum(n) >= 5),
+    e as (select word, n, translate(word, 'ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖ×ØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõö÷øùúûüýþÿ',
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789!#$%&()*+,-./:;<=>?@[]^_{|}~') one from v),
+    near as (select x.word, x.n, y.word near, y.n near_n from e x join e y on abs(length(x.one) - length(y.one)) <= 1 and x.word <> y.word
+             where levenshtein(x.one, y.one) = 1),
+    f as (select word, count(*) n_near, first(near order by near_n desc, near) best, max(near_n) best_n from near group by word),
+    told as (select v.word, v.n, coalesce(n_near, 0) n_near, case when best_n >= 5 * v.n then best end form, case when best_n >= 5 * v.n then best_n end form_n
+             from v left join f using (word)),
+    walk as (select word, word place, 0 steps from told union all select walk.word, told.form, steps + 1 from walk join told on told.word = walk.place where told.form is not null)
+    select told.word, form, root, told.n, n_near, form_n from told join (select word, arg_max(place, steps) root from walk group by word) using (word)""")
+def op13(spark, sf_dir):
+    return spelling.variants(documents(spark, sf_dir))

@@ -22,5 +22,5 @@ def test_nothing_else_imports_the_subpackage():
 
 def test_a_query_for_each_operator():
     names = list(entry.LLM_QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14)) and "pipeline" in names
     assert set(entry.LLM_CHECKS) <= set(names)
