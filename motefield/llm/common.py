@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..staging import attach, size_in_bytes, small, stage
 
@@ -93,6 +94,11 @@ def light(work):
     return run
 
 
+def widened(df: DataFrame, more: str) -> StructType:
+    """The columns of ``df``, whatever their names, and those of a schema text."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
 class Words:
     """The words of a batch: byte ranges, the document each belongs to, and a 64-bit hash."""
 

@@ -7,15 +7,18 @@ language the bundle of its training documents' unit vectors, and a document is g
 language whose prototype has the largest cosine with it.
 
 Texts are lower-cased; a run of anything but letters counts as one blank, also at both ends.
-All sums are of whole numbers, so results do not depend on how rows are batched.
+Bundles and prototypes are whole numbers (a prototype is its unit vector in steps of
+1 / ``STEPS``), so their products are exact sums and do not depend on how rows are batched.
 
 Only the prototypes are learned, from labelled documents outside the held-out quarter.  At
-most about ``SAMPLE`` documents a language take part, drawn by the hash of their id (all of
-them, where a language has fewer); prediction reads every text whole.
+most about ``SAMPLE`` documents a language take part, drawn by a hash of id and text (all of
+them, where a language has fewer); prediction reads every text whole, however long.
 
 Defined cases.  Text null or without a letter: ``und``, score 0.  A negative cosine scores 0.
 Equal cosines: the language first in order.  ``doc_id`` null: predicted, not held out, not
-learned from.  No labelled document at all: every document is ``und``.
+learned from.  No labelled document at all: every document is ``und``.  Equal rows are
+predicted apart, and learned from as often as they are drawn.  An empty table gives an empty
+one.  Columns named ``lang_pred`` and ``score`` are replaced; all others are kept.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices, utf8
+from .common import mix, slices, utf8, widened
 
 DIMENSIONS = 1024
 SAMPLE = 2000
+STEPS = 1 << 14
 UNKNOWN = "und"
 _ROWS, _WIDTH, _DENSE = 256, 4096, 1 << 24
 
@@ -90,7 +94,8 @@ def bundles(batch: pa.RecordBatch, dimensions: int = DIMENSIONS) -> Iterator[tup
         grams = grams[:0]
     ends = np.searchsorted(row, np.arange(0, batch.num_rows + _ROWS, _ROWS))
     spans = [slice(i, min(i + _ROWS, batch.num_rows)) for i in range(0, batch.num_rows, _ROWS)]
-    sums = [np.zeros((s.stop - s.start, dimensions), np.float32) for s in spans]
+    exact = np.float32 if len(key) < 1 << 24 else np.float64          # no sum goes beyond its whole numbers
+    sums = [np.zeros((s.stop - s.start, dimensions), exact) for s in spans]
     for lo in range(0, len(grams), _WIDTH):
         g = grams[lo:lo + _WIDTH]
         bound = np.roll(vectors, 2, 1)[g // (size * size)] * np.roll(vectors, 1, 1)[g // size % size] * vectors[g % size]
@@ -99,15 +104,25 @@ def bundles(batch: pa.RecordBatch, dimensions: int = DIMENSIONS) -> Iterator[tup
             at = key[mine] - lo
             inside = (at >= 0) & (at < len(g)) if len(grams) > _WIDTH else slice(None)
             counts = np.bincount((row[mine][inside] - s.start) * len(g) + at[inside], minlength=(s.stop - s.start) * len(g))
-            sums[k] += counts.reshape(-1, len(g)).astype(np.float32) @ bound
+            sums[k] += counts.reshape(-1, len(g)).astype(exact) @ bound
     yield from zip(spans, sums)
 
 
+def _length(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors.astype(np.float64) ** 2).sum(1, keepdims=True))
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    length = np.sqrt((vectors.astype(np.float64) ** 2).sum(1, keepdims=True))
+    length = _length(vectors)
     return np.divide(vectors, length, out=np.zeros(vectors.shape), where=length > 0)
 
 
+def cosines(vectors: np.ndarray, profiles: np.ndarray) -> np.ndarray:
+    """Of each text with each prototype, both in whole numbers; 0 for a text without a letter."""
+    product, length = vectors.astype(np.float64) @ profiles.T, _length(vectors) * _length(profiles).T
+    return np.divide(product, length, out=np.zeros(product.shape), where=length > 0)
+
+
 def _partial(batches: Iterator[pa.RecordBatch], dimensions: int) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         total: dict[str, np.ndarray] = {}
@@ -129,14 +144,14 @@ def held_out():
 
 
 def prototypes(docs: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
-    """Languages and their unit prototypes, one row each."""
+    """Languages and their prototypes, unit vectors in whole steps of 1 / ``STEPS``, one row each."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "lang", "text")
     share = known.groupBy("lang").agg((F.lit(float(sample)) / F.count("*")).alias("share"))
-    drawn = known.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    drawn = known.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     found = (drawn.select("lang", "text").mapInArrow(lambda it: _partial(it, dimensions), "lang string, vector binary")
              .groupBy("lang").applyInArrow(_total, "lang string, vector binary").orderBy("lang").collect())
     vectors = np.array([np.frombuffer(r.vector) for r in found]).reshape(-1, dimensions)
-    return [r.lang for r in found], _unit(vectors)
+    return [r.lang for r in found], np.rint(_unit(vectors) * STEPS)
 
 
 def predict(docs: DataFrame, names: list[str], profiles: np.ndarray) -> DataFrame:
@@ -148,7 +163,7 @@ def predict(docs: DataFrame, names: list[str], profiles: np.ndarray) -> DataFram
         for batch in slices(batches):
             label, score = [], []
             for _, vectors in bundles(batch, dimensions):
-                cosine = _unit(vectors) @ profiles.T if names else np.zeros((len(vectors), 1))
+                cosine = cosines(vectors, profiles) if names else np.zeros((len(vectors), 1))
                 best = cosine.argmax(1)
                 blank = ~vectors.any(1)
                 label += [UNKNOWN if b or not names else names[k] for b, k in zip(blank, best)]
@@ -156,8 +171,7 @@ def predict(docs: DataFrame, names: list[str], profiles: np.ndarray) -> DataFram
             columns = [*batch.columns, pa.array(label, pa.string()), pa.array(np.concatenate(score))]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return docs.mapInArrow(run, widened(docs, "lang_pred string, score double"))
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE, dimensions: int = DIMENSIONS) -> DataFrame:

@@ -1,9 +1,10 @@
 """Padded batches from optimal length buckets.
 
-The lengths of all documents (words and one end) make a histogram; lengths above ``EXACT``
-are told apart to one part in ``EXACT / 2``, so it has at most ``EXACT / 2`` bins an octave
-whatever the size of the corpus.  Dynamic programming over it chooses ``buckets`` upper
-bounds that minimise padding (a document is padded to its bucket's bound).  Inside a bucket,
+The lengths of all documents (words and one end) make a histogram of one bin for each
+length.  Dynamic programming over it chooses ``buckets`` upper bounds that minimise padding
+(a document is padded to its bucket's bound).  n different lengths take n * n / 2 tokens, so
+up to some 3 * 10**10 tokens there cannot be more than ``MOST_LENGTHS``; a corpus that has
+more of them is binned in the narrowest even steps that make do.  Inside a bucket,
 documents fill batches of as many rows as the token budget holds, one at least.
 
 Rows get their place in a bucket from running sums over ranges of a row hash, so a bucket
@@ -20,11 +21,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import computed, stage
 from .common import as_read, running, word_count
 
 BUCKETS = 16
 BATCH_TOKENS = 16384
-EXACT = 1024
+MOST_LENGTHS = 1 << 18
 
 
 def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
@@ -69,15 +71,14 @@ def best_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[i
     return bounds[::-1]
 
 
-def _binned(length: str):
-    """Lengths rounded up to the histogram's bins."""
-    step = f"shiftleft(1L, greatest(0, cast(floor(log2({length})) as int) - {int(EXACT).bit_length() - 2}))"
-    return F.expr(f"({length} + {step} - 1) div {step} * {step}")
-
-
 def histogram(measured: DataFrame, length: str) -> tuple[np.ndarray, np.ndarray]:
-    """The longest length of each bin, and how many rows the bin has."""
-    found = measured.groupBy(_binned(length).alias("bin")).agg(F.max(length).alias("top"), F.count("*").alias("rows")).orderBy("bin").toArrow()
+    """Lengths, ascending, and how many rows have each; beyond ``MOST_LENGTHS`` of them, the longest of each bin."""
+    counts = stage(measured.groupBy(F.col(length).alias("top")).agg(F.count("*").alias("rows")))
+    step, n = 1, counts.count()
+    while n > MOST_LENGTHS:
+        step *= 2
+        n = counts.select(F.expr(f"(top + {step - 1}) div {step}")).distinct().count()
+    found = counts.groupBy(F.expr(f"(top + {step - 1}) div {step}").alias("bin")).agg(F.max("top").alias("top"), F.sum("rows").alias("rows")).orderBy("bin").toArrow()
     return found.column("top").to_numpy(), found.column("rows").to_numpy()
 
 
@@ -88,7 +89,7 @@ def batch(docs: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOK
     """
     names = ["pack_tokens", "pack_length", "pack_batch", "pack_row"]
     docs = docs.drop(*names)
-    measured = (as_read(docs) if keep_order else docs).withColumn("pack_tokens", word_count() + 1)
+    measured = computed(as_read(docs) if keep_order else docs, {"pack_tokens": word_count() + 1})      # counted once for all bounds
     bounds = best_bounds(*histogram(measured, "pack_tokens"), buckets)
     listed = ", ".join(f"{b}L" for b in bounds) or "1L"
     measured = measured.withColumn("pack_length", F.expr(f"filter(array({listed}), b -> b >= pack_tokens)[0]")).withColumn("__one", F.lit(1).cast("long"))

@@ -38,7 +38,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, widened
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
@@ -201,10 +201,6 @@ def _with(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, name])
 
 
-def _schema(df: DataFrame) -> str:
-    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)
-
-
 def encode(docs: DataFrame, path: str = VOCABULARY, text: str = "text") -> DataFrame:
     """``docs`` with ``ids``, the token ids of ``text``."""
     docs = docs.drop("ids")
@@ -216,7 +212,7 @@ def encode(docs: DataFrame, path: str = VOCABULARY, text: str = "text") -> DataF
             offsets = np.append(0, np.cumsum([len(r) for r in rows])).astype(np.int32)
             yield _with(batch, "ids", pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows))))
 
-    return docs.mapInArrow(run, f"{_schema(docs)}ids array<int>")
+    return docs.mapInArrow(run, widened(docs, "ids array<int>"))
 
 
 def decoded_texts(ids: pa.ListArray, v: Vocabulary) -> list[str | None]:
@@ -247,7 +243,7 @@ def decode(df: DataFrame, path: str = VOCABULARY) -> DataFrame:
         for batch in batches:
             yield _with(batch, "decoded", pa.array(decoded_texts(batch.column("ids"), v), pa.string()))
 
-    return df.mapInArrow(run, f"{_schema(df)}decoded string")
+    return df.mapInArrow(run, widened(df, "decoded string"))
 
 
 def codec_digest(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import small, stage
-from .common import KEY_BITS, bucket_count, by_bucket, joined, light, pack, pack_sorted, runs, slices, unpack, unpack_sorted, words_of
+from .common import KEY_BITS, bucket_count, by_bucket, joined, light, pack, pack_sorted, runs, slices, unpack, unpack_sorted, widened, words_of
 
 WINDOW, BLOCK = 13, 7
 ENTRY, SPAN, HIT = 0, 1, 2
@@ -318,6 +318,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block: int = BLOCK) ->
     """``docs`` with repeats cut from ``text``, plus ``n_words`` and ``n_removed`` (which replace columns of those names)."""
     rows = numbered(docs.drop("n_words", "n_removed"))
     spans = small(stage(repeated_spans(rows.select("__uid", "doc_id", "text"), window, block)))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("__uid").schema.fields)
     return (rows.join(spans.select(F.col("uid").alias("__uid"), F.col("spans").alias("__spans")), "__uid", "left")
-            .mapInArrow(_texts, f"{schema}, n_words long, n_removed long"))
+            .mapInArrow(_texts, widened(rows.drop("__uid"), "n_words long, n_removed long")))

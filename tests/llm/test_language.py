@@ -59,3 +59,31 @@ def test_odd_rows(spark):
     assert language.identify(df.limit(0)).count() == 0
     names, profiles = language.prototypes(df)
     assert language.predict(df, names, profiles).columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+
+
+def test_prediction_matches_a_plain_version(spark):
+    docs = spark.read.parquet(SF).where("doc_id % 5 = 0")
+    rows, d = docs.collect(), 256
+    vector = {r.doc_id: brute_bundle(r.text, d) for r in rows}
+    unit = lambda v: v / np.sqrt((v ** 2).sum()) if v.any() else v
+    total = {}
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            total[r.lang] = total.get(r.lang, 0) + np.rint(unit(vector[r.doc_id]) * 2 ** 20)
+    profile = {k: np.rint(unit(v) * language.STEPS) for k, v in sorted(total.items())}
+    got = {r.doc_id: r for r in language.identify(docs, sample=10 ** 6, dimensions=d).collect()}
+    for r in rows:
+        v, g = vector[r.doc_id], got[r.doc_id]
+        if not v.any():
+            assert (g.lang_pred, g.score) == ("und", 0.0)
+            continue
+        cosine = {k: float(unit(v) @ unit(p)) for k, p in profile.items()}
+        assert cosine[g.lang_pred] >= max(cosine.values()) - 1e-12 and abs(g.score - max(0.0, cosine[g.lang_pred])) < 1e-12
+
+
+def test_a_language_under_one_id_is_drawn_in_part(spark):
+    rows = [(1, f"the number {i} of this thing", "en") for i in range(400)] + [(2 + i, f"le chien {i} est dans la maison", "fr") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert zlib.crc32(b"1") % 4 != 2
+    names, _ = language.prototypes(df, sample=50)
+    assert names == ["en", "fr"]

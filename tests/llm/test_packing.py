@@ -120,10 +120,14 @@ def test_batches(spark, side):
     assert lengths.batch(df.limit(0)).count() == 0
 
 
-def test_long_lengths_are_binned_closely(spark):
-    df = spark.createDataFrame([(n,) for n in [1, 1023, 1024, 1025, 1026, 5000, 5001, 10 ** 9]], "n long")
+def test_each_length_has_a_bin_until_there_are_too_many(spark, monkeypatch):
+    sizes = [1, 1023, 1024, 1025, 1026, 5000, 5001, 10 ** 9]
+    df = spark.createDataFrame([(n,) for n in sizes + sizes[:3]], "n long")
     top, count = lengths.histogram(df, "n")
-    assert count.sum() == 8 and top[-1] == 10 ** 9 and {1, 1023, 1024} <= set(top.tolist()) and len(top) <= 8
+    assert top.tolist() == sizes and count.tolist() == [2, 2, 2, 1, 1, 1, 1, 1]
+    monkeypatch.setattr(lengths, "MOST_LENGTHS", 5)
+    top, count = lengths.histogram(df, "n")
+    assert count.sum() == 11 and top[-1] == 10 ** 9 and len(top) <= 5 and set(top.tolist()) <= set(sizes)
 
 
 def test_best_fit_takes_the_fullest_row_that_holds():

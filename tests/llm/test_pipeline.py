@@ -57,10 +57,56 @@ def test_batches_follow_the_mixture(spark, side, tmp_path):
     assert [r.doc_id for r in plain.orderBy("pack_batch", "pack_row").collect()] == list(range(40))
 
 
-@pytest.mark.parametrize("rows", [[], [(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (None, "words " * 40, None, None, 3), (3, "a b c", "en", "s", 5)]])
-def test_odd_tables(spark, tmp_path, rows):
+PACKED = ["pack_tokens", "pack_length", "pack_batch", "pack_row"]
+ODD = {
+    "empty": ([], []),
+    # null and blank texts go for want of a letter; of the equal rows one stays
+    "odd": ([(1, None, None, None, None), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (None, "words " * 40, None, None, 3), (3, "more words a b c", "en", "s", 5), (4, "12 34", "en", "s", 5)],
+            [(None, "words " * 40), (3, "more words a b c")]),
+    "repeated": ([(7, "one two three four five six", "en", "s", 1)] * 5, [(7, "one two three four five six")]),
+    "ties": ([(i, f"text number {i} of a few", "en", "s", i) for i in range(6)], [(i, f"text number {i} of a few") for i in range(6)]),
+}
+
+
+@pytest.mark.parametrize("case", list(ODD))
+def test_odd_tables(spark, tmp_path, case):
+    rows, kept = ODD[case]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     out = cp.run(spark, str(tmp_path))
-    assert out.columns == [*COLUMNS, "pack_tokens", "pack_length", "pack_batch", "pack_row"]
-    assert out.count() <= len(rows)
+    assert out.columns == [*COLUMNS, *PACKED]
+    assert {(r.doc_id, r.text) for r in out.collect()} == set(kept)
+    if case != "odd":                    # a single source does not start again
+        assert out.count() == len(kept)
+
+
+def test_nothing_labelled_loses_nothing(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    out = cp.language_id(spark, docs, SF)
+    want = {r.doc_id for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)}
+    assert {r.doc_id for r in out.collect()} == want and out.count() == len(want) and out.schema == docs.schema
+
+
+def test_the_limit_has_no_step(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null").select("doc_id", "text", "lang", "source", "n_chars")
+    near = lambda n: (cp.LEAST_SCORE * (n / (n + cp.REPEATS_ONCE_IN)) ** 0.5)
+    assert all(0 < near(n + 1) - near(n) < 0.004 for n in range(1, 2000))
+    junk = "".join(chr(0x4E00 + i * 37 % 5000) for i in range(3000))        # letters of no language here
+    rows = spark.createDataFrame([(10 ** 6, junk, None, "s", 3000)], base.schema)
+    assert cp.language_id(spark, base.unionByName(rows), SF).where("doc_id = 1000000").count() == 0
+
+
+def test_columns_of_any_name_come_through_every_stage(spark, tmp_path):
+    names = ["lang_pred", "score", "n_words", "n_removed", "n_shingles", "component", "component_id", "mix_slot", "mix_epoch", "mix_tokens", "__uid", "__h", "__g", "__spans",
+             "uid", "held", "i", "n", "again", "odd name", "with.dot", "__file", "__at", "__one"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60")
+    plain = cp.mix_sources(spark, docs, SF)
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for i, (_, stage) in enumerate(cp.STAGES):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns + (PACKED if i == 4 else [])
+        out.write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        rows = docs.collect()
+        assert rows and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names)
+    assert plain.count() > 0
