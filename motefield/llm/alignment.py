@@ -75,29 +75,29 @@ class Pair:
         self.bytes_a = [b""] * (names[-1][1] + 1)
         for name, i in names:
             self.bytes_a[i] = bytes(byte[c] for c in name) if all(c in byte for c in name) else name.encode()
-        self.bytes_b = v.bytes
-        self.sizes_a, self.sizes_b = (pa.array([len(x) for x in t], pa.int64()) for t in (self.bytes_a, self.bytes_b))
+        self.bytes_a, self.bytes_b = (pa.array(t, pa.binary()) for t in (self.bytes_a, v.bytes))
+        self.sizes_a, self.sizes_b = (pc.binary_length(t).cast(pa.int64()) for t in (self.bytes_a, self.bytes_b))
         with open(path_a) as f:
             rules = json.load(f)
         apart = (rules["normalizer"] is None and rules["pre_tokenizer"]["type"] == "ByteLevel" and rules["pre_tokenizer"].get("use_regex", True)
                  and v.words.pattern.startswith(" "))
         self.cut = re.compile(r"(?<=\S) (?=\S)" if apart else r"(?!)")
-        self.known: dict[str, tuple[list[int], list[int], bool]] = {}
+        self.known: dict[str, tuple[list[int], list[int]]] = {}
 
-    def encode(self, stretches: list[str]) -> list[tuple[list[int], list[int], bool]]:
-        """Ids by A of a blank and each stretch, by B of each (which adds the blank), and whether both give its bytes back."""
+    def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids by A of a blank and each stretch, and by B of each (which adds the blank)."""
         new = [s for s in stretches if s not in self.known]
+        if 2 * len(new) > len(stretches) and len(self.known) >= REMEMBERED:
+            self.known.clear()                       # other texts than those remembered: begin anew
+            new = stretches
         fresh = {}
         if new:
-            spaced = [" " + s for s in new]
-            for s, raw, a, b in zip(new, spaced, self.a.encode_batch(spaced, add_special_tokens=False), self.b.encode(new, num_threads=1)):
-                a, want = a.ids, raw.encode()
-                fresh[s] = a, b, b"".join([self.bytes_a[i] for i in a]) == want == b"".join([self.bytes_b[i] for i in b])
-        out = [fresh[s] if s in fresh else self.known[s] for s in stretches]
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
-        self.known.update((s, x) for s, x in fresh.items() if len(s) <= LONGEST and len(self.known) < REMEMBERED)
-        return out
+            coded = self.a.encode_batch_fast([" " + s for s in new], add_special_tokens=False)
+            fresh = {s: (a.ids, b) for s, a, b in zip(new, coded, self.b.encode(new, num_threads=1))}
+        found = [fresh.get(s) or self.known[s] for s in stretches]
+        room = max(0, REMEMBERED - len(self.known))
+        self.known.update((s, fresh[s]) for s in new[:room] if len(s) <= LONGEST)
+        return [x[0] for x in found], [x[1] for x in found]
 
 
 @lru_cache(maxsize=2)
@@ -110,6 +110,11 @@ def _lists(rows: list[list[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array([i for r in rows for i in r], pa.int64()))
 
 
+def _bytes(lists: pa.ListArray, table: pa.Array) -> pa.Array:
+    """What the ids of each list stand for."""
+    return pc.binary_join(pa.ListArray.from_arrays(lists.offsets, table.take(lists.values)), b"")
+
+
 def _placed(lists: pa.ListArray, doc: pa.Array, sizes: pa.Array, side: str) -> pa.Table:
     """Document, end in it, number and id of each token; ``lists`` are those of stretches, ``doc`` their documents."""
     ids = pc.list_flatten(lists)
@@ -137,8 +142,9 @@ def _align(batch: pa.RecordBatch, t: Pair) -> pa.RecordBatch:
     words = [t.cut.split(x) if x else [] for x in batch.column("text").to_pylist()]
     flat = pa.array([w for ws in words for w in ws], pa.string()).dictionary_encode()
     doc = np.repeat(np.arange(n), [len(ws) for ws in words])
-    coded = t.encode(flat.dictionary.to_pylist())
-    good = np.array([c[2] for c in coded], bool)[flat.indices.to_numpy()] if len(flat) else np.zeros(0, bool)
+    ids_a, ids_b = (_lists(x) for x in t.encode(flat.dictionary.to_pylist()))
+    wanted = pc.binary_join_element_wise("", flat.dictionary, " ").cast(pa.binary())
+    good = pc.and_(pc.equal(_bytes(ids_a, t.bytes_a), wanted), pc.equal(_bytes(ids_b, t.bytes_b), wanted)).take(flat.indices).to_numpy(zero_copy_only=False)
     whole = np.ones(n, bool)
     whole[doc[~good]] = False
     keep = whole[doc]
@@ -147,8 +153,8 @@ def _align(batch: pa.RecordBatch, t: Pair) -> pa.RecordBatch:
     all_pairs, all_times = [], []
     if keep.any():
         which, owner = flat.indices.filter(pa.array(keep)), pa.array(doc[keep])
-        a = _placed(_lists([c[0] for c in coded]).take(which), owner, t.sizes_a, "a")
-        b = _placed(_lists([c[1] for c in coded]).take(which), owner, t.sizes_b, "b")
+        a = _placed(ids_a.take(which), owner, t.sizes_a, "a")
+        b = _placed(ids_b.take(which), owner, t.sizes_b, "b")
         n_a, n_b = _counts(a["doc"].to_numpy(), n), _counts(b["doc"].to_numpy(), n)
         met = a.join(b, ["doc", "end"], join_type="full outer", use_threads=False)
         order = pc.sort_indices(met, [("doc", "ascending"), ("end", "ascending")])
