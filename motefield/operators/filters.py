@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as k
 from ..functions import geometry as g
-from ..staging import small, stage, staged_small
+from ..staging import all_of, small, stage, staged_small
 from .attributes import plane_columns
-from .quantiles import percentiles
+from .quantiles import Cut, chained_cuts, percentiles
 from .voxels import with_colour_distance, with_voxel_count
 
 SCENE = ["scene_id"]
@@ -62,13 +62,16 @@ def top_band_density(df: DataFrame, keys: list[str] = SCENE) -> DataFrame:
     return out.where(~((F.col("y") < F.col("_top")) & (F.col("_density") < k.DENSITY_MIN))).drop("_top", "_density")
 
 
+def _colour_outlier(scored: DataFrame, keys: list[str], band: Column, pct: float) -> DataFrame:
+    limit = percentiles(scored.where(band), keys, {"d": F.col("_dist")}, [("_limit", "d", pct)])
+    out = scored.join(small(limit), keys, "left")
+    return out.where(~F.coalesce(band & (F.col("_dist") > F.col("_limit")), F.lit(False))).drop("_dist", "_limit")
+
+
 def top_band_colour_outlier(df: DataFrame, keys: list[str] = SCENE) -> DataFrame:
     """Drop the top band's splats beyond p95 of the band's own colour distances."""
     scored = stage(_top_band(with_colour_distance(df, keys, k.COLOUR_VOXEL_M, "_dist"), keys))
-    band = F.col("y") < F.col("_top")
-    limit = percentiles(scored.where(band), keys, {"d": F.col("_dist")}, [("_limit", "d", k.COLOUR_BAND_PCT)])
-    out = scored.join(small(limit), keys, "left")
-    return out.where(~F.coalesce(band & (F.col("_dist") > F.col("_limit")), F.lit(False))).drop("_top", "_dist", "_limit")
+    return _colour_outlier(scored, keys, F.col("y") < F.col("_top"), k.COLOUR_BAND_PCT).drop("_top")
 
 
 def scene_colour_outlier(df: DataFrame, keys: list[str] = SCENE) -> DataFrame:
@@ -80,16 +83,28 @@ def scene_colour_outlier(df: DataFrame, keys: list[str] = SCENE) -> DataFrame:
 def slice_chain(df: DataFrame, planes: DataFrame) -> DataFrame:
     """All cleaning steps in order, each percentile taken over the survivors so far.
 
-    Steps that need only thresholds stay lazy: a percentile pass re-reads the
-    narrow columns under the accumulated predicates.  Survivors are staged where
-    a voxel join would otherwise be repeated by the passes that follow.
+    The four cuts by height that need no voxels come from one joint selection
+    (``chained_cuts``).  The survivors of the density step are written once with all their
+    columns, as both colour steps read them several times.
     """
-    out = ceiling_floor_cut(df, planes).where("keep_id").drop("keep_id", "keep_extract")
-    out = max_scale_filter(out)
-    out = top_band_max_scale(top_band_aniso(out))
-    out = stage(top_band_density(out))
-    out = top_band_colour_outlier(out)
-    return scene_colour_outlier(out)
+    flag = lambda c: F.coalesce(c, F.lit(True))
+    never, height = F.lit(False), F.col("y")
+    log = math.log(k.MAX_SCALE_M)
+    usable = (height <= F.col("_floor") + k.FLOOR_BUFFER_M) & all_of([F.col(f"scale_{i}") <= log for i in range(3)])
+    long, big = g.anisotropy_above(k.ANISO_RATIO, 1e-9), g.max_log_scale() > math.log(k.TOP_MAX_SCALE_M)
+    marked = df.join(_floor_y(planes), "scene_id")
+    cuts = chained_cuts(marked, SCENE, height, [
+        Cut("_ceiling", k.CEILING_PCT_ID, F.lit(True), ~F.coalesce(usable, F.lit(False))), Cut("_long", k.TOP_BAND_PCT, flag(long), never),
+        Cut("_big", k.TOP_BAND_PCT, flag(big), never), Cut("_thin", k.TOP_BAND_PCT, never, never)])
+    out = marked.join(small(cuts), "scene_id").where(usable & (height >= F.col("_ceiling")))
+    out = out.where(~((height < F.col("_long")) & long)).where(~((height < F.col("_big")) & big)).drop("_floor", "_ceiling", "_long", "_big")
+    out = with_voxel_count(out, SCENE, k.DENSITY_VOXEL_M, "_density")
+    out = stage(out.where(~((height < F.col("_thin")) & (F.col("_density") < k.DENSITY_MIN))).drop("_thin", "_density"))
+    out = _top_band(with_colour_distance(out, SCENE, k.COLOUR_VOXEL_M, "_dist"), SCENE)
+    out = _colour_outlier(out, SCENE, height < F.col("_top"), k.COLOUR_BAND_PCT).drop("_top")
+    out = with_colour_distance(out, SCENE, k.COLOUR_VOXEL_M, "_dist")
+    out = _with(out, SCENE, [("_limit", "d", k.COLOUR_SCENE_PCT)], {"d": F.col("_dist")})
+    return out.where(F.col("_dist") <= F.col("_limit")).drop("_dist", "_limit")
 
 
 def cardinal_strip(df: DataFrame, planes: DataFrame) -> DataFrame:

@@ -17,8 +17,14 @@ Nulls, NaN and infinities are left out, of the counts too.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StructField, StructType
 
 from ..staging import small, stage
 
@@ -130,6 +136,101 @@ def percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
     return stage(per_slot.groupBy(*keys).agg(*wide))
 
 
+@dataclass(frozen=True)
+class Cut:
+    """One step of ``chained_cuts``: a percentile of the rows left, and the rows that it takes away.
+
+    Rows with ``below`` go if their value is less than the percentile, rows with ``always`` wherever they are.
+    """
+    name: str
+    percent: float
+    below: Column
+    always: Column
+
+
+def _selected(lo: np.ndarray, hi: np.ndarray, n: np.ndarray, below: np.ndarray, always: np.ndarray,
+              shares: list[float]) -> tuple[list[float | None] | None, np.ndarray]:
+    """The cuts over ascending intervals with counts per class; or, where intervals are too wide, which of them to open.
+
+    ``n``: interval by class; ``below``, ``always``: step by class.  While a cut is known only up
+    to some intervals, what is left of them lies between two counts, and so do later ranks.
+    """
+    least, most = n.copy(), n.copy()
+    wide, open_, cuts = lo < hi, np.zeros(len(lo), bool), []
+    place = np.arange(len(lo))
+    for q, low, all_ in zip(shares, below, always):
+        fewest, total = int(least.sum()), int(most.sum())
+        if not total:
+            cuts.append(None)
+            continue
+        first = int(np.searchsorted(np.cumsum(most.sum(1)), np.floor(q * max(fewest - 1, 0)), "right"))
+        last = min(len(lo) - 1, int(np.searchsorted(np.cumsum(least.sum(1)), min(np.floor(q * (total - 1)) + 1, total - 1), "right")))
+        if fewest == total and not wide[[first, last]].any():
+            at = q * (total - 1)
+            cut = lo[first] + (lo[last] - lo[first]) * (at - np.floor(at))
+            cuts.append(float(cut))
+            under = lo < cut
+            least[np.ix_(under, low)] = most[np.ix_(under, low)] = 0
+        else:
+            cuts.append(None)
+            open_[first:last + 1] |= wide[first:last + 1]
+            least[np.ix_(place <= last, low)] = 0
+            most[np.ix_(place < first, low)] = 0
+        least[:, all_] = most[:, all_] = 0
+    return (None, open_) if open_.any() else (cuts, open_)
+
+
+def chained_cuts(df: DataFrame, keys: list[str], value: Column, steps: list[Cut]) -> DataFrame:
+    """One row per group with a percentile for each step, each taken over what the steps before it leave.
+
+    One histogram over order-preserving buckets, with a count for each combination of the
+    steps' flags, bounds the buckets that all cuts can lie in, the later ones too.  Only
+    values of those buckets are then counted one by one, in one further scan; a bucket of more
+    than ``CROWDED_ROWS`` rows is cut evenly first.  A task sees a group's buckets, never its rows.
+    Nulls, NaN and infinities take no part; a step without rows left has a null.
+    """
+    flags = [f for s in steps for f in (s.below, s.always)]
+    code = reduce(lambda a, b: a + b, [F.when(F.coalesce(f, F.lit(True)), F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(flags)])
+    rows = df.select(*keys, value.cast("double").alias("_v"), code.cast("int").alias("_c")).where(F.abs("_v") < float("inf"))
+    rows = rows.withColumn("_b", ordered_bucket(F.col("_v")))
+    counted = [F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    entries = rows.groupBy(*keys, "_b", F.lit(0.0).alias("_part"), "_c").agg(*counted)
+    shares, names, many = [s.percent / 100.0 for s in steps], [s.name for s in steps], len(steps)
+    limit = int(df.sparkSession.conf.get(_CROWDED_CONF, str(CROWDED_ROWS)))
+    schema = StructType([*entries.schema.fields, StructField("_open", BooleanType()), StructField("_cuts", ArrayType(DoubleType()))])
+
+    def settle(part: pd.DataFrame) -> pd.DataFrame:
+        """A row with the cuts, or the group's entries with those to open."""
+        spans = part.groupby(["_b", "_part"]).agg(lo=("_lo", "min"), hi=("_hi", "max")).sort_values("lo")
+        classes, column = np.unique(part["_c"].to_numpy(), return_inverse=True)
+        n = np.zeros((len(spans), len(classes)), np.int64)
+        row = spans.index.get_indexer(pd.MultiIndex.from_frame(part[["_b", "_part"]]))
+        np.add.at(n, (row, column), part["_n"].to_numpy())
+        bit = lambda i: classes >> i & 1 == 1
+        cuts, open_ = _selected(spans["lo"].to_numpy(), spans["hi"].to_numpy(), n, np.array([bit(2 * i) for i in range(many)]),
+                                np.array([bit(2 * i + 1) for i in range(many)]), shares)
+        if cuts is None:
+            return part.assign(_open=open_[row], _cuts=None)
+        return part.head(1).assign(_open=False, _cuts=[cuts])
+
+    told = [*keys, "_b", "_part"]
+    found = []
+    while True:
+        entries = stage(entries.groupBy(*keys).applyInPandas(settle, schema))
+        found.append(entries.where("_cuts is not null"))
+        rest = entries.where("_cuts is null").drop("_cuts")
+        if rest.where("_open").isEmpty():
+            break
+        spans = rest.where("_open").groupBy(*told).agg(F.sum("_n").alias("_rows"), F.min("_lo").alias("_from"), F.max("_hi").alias("_to"))
+        inner = rows.alias("r").join(small(spans).alias("s"), [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*keys, "_b"]] + [F.col("r._v").between(F.col("s._from"), F.col("s._to"))])
+        part = F.when(F.col("s._rows") <= limit, F.col("r._v")).otherwise(
+            F.col("s._from") + F.least(F.lit(_PARTS - 1), F.floor((F.col("r._v") - F.col("s._from")) / (F.col("s._to") - F.col("s._from")) * _PARTS))
+            * ((F.col("s._to") - F.col("s._from")) / _PARTS))
+        inner = inner.select(*[F.col(f"r.{c}").alias(c) for c in [*keys, "_b", "_v", "_c"]], part.alias("_part"))
+        entries = rest.where("not _open").drop("_open").unionByName(inner.groupBy(*told, "_c").agg(*counted))
+    return reduce(DataFrame.unionByName, found).select(*keys, *[F.col("_cuts")[i].alias(n) for i, n in enumerate(names)])
+
+
 def with_percentiles(df: DataFrame, keys: list[str], measures: dict[str, Column],
                      want: list[tuple[str, str, float]]) -> DataFrame:
     """Every row of ``df`` with its group's percentiles attached."""

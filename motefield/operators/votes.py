@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import constants as k
 from ..functions import boxes as bx
-from ..staging import small, stage, staged_small
-from .masks import merge_runs, pack_runs
+from ..staging import any_of, small, stage, staged_small
+from .masks import pack_runs
 from .projection import project
 
 RUN_TILE = 64
@@ -53,41 +53,56 @@ def keep_art_votes(voted: DataFrame, frac: float = k.ART_VOTE_FRAC) -> DataFrame
     return voted.where((F.col("n_views") == 0) | (F.col("votes") >= need))
 
 
-def mask_index(runs: DataFrame, keys: list[str]) -> DataFrame:
-    """Masks as disjoint runs cut at tile borders, written once and reused by every vote."""
-    return stage(pack_runs(merge_runs(runs, keys), keys, RUN_TILE))
+def mask_index(runs: DataFrame, keys: list[str], layers: dict[str, Column] | None = None) -> DataFrame:
+    """Masks as bitmaps of 64 pixels of a row, written once and reused by every vote.
+
+    One row per ``keys``, image row and tile; bit i of a word is pixel ``64 * tile + i``.  Each
+    of ``layers`` is a condition on the runs and has a word of its own, so that several votes
+    over the same pixels look up once.  Runs may overlap.
+    """
+    layers = layers or {"mask": F.lit(True)}
+    flags = [f"_in_{n}" for n in layers]
+    cut = pack_runs(runs.where("x1 >= x0").withColumns(dict(zip(flags, layers.values()))), [*keys, *flags], RUN_TILE)
+    bits = F.expr(f"shiftleft(shiftrightunsigned(-1L, {RUN_TILE - 1} - (x1 - x0)), x0 - tile * {RUN_TILE})")
+    return stage(cut.groupBy(*keys, "y", "tile").agg(*[F.bit_or(F.when(F.col(f), bits)).alias(n) for n, f in zip(layers, flags)]))
+
+
+def _named(stem: str, layer: str, layers: list[str]) -> str:
+    return stem if len(layers) == 1 else f"{stem}_{layer}"
 
 
-def mask_votes(df: DataFrame, views: DataFrame, runs: DataFrame, on: list[str], ids: list[str],
-               rule: str = "index", extra: list[str] = []) -> DataFrame:
+def mask_votes(df: DataFrame, views: DataFrame, index: DataFrame, on: list[str], ids: list[str],
+               rule: str = "index", extra: list[str] = [], layers: list[str] = ["mask"]) -> DataFrame:
     """Per splat: views that see it (``visible``) and whose mask covers it (``votes``).
 
-    ``views`` holds the views to count; ``runs`` is a ``mask_index`` keyed by
-    ``on + view_id (+ extra)``.  A pixel matches at most one run, since runs are
-    disjoint.  Splats outside an image carry a salted key that matches nothing,
-    so that they do not pile up on one task.
+    ``views`` holds the views to count (``masked_views``); ``index`` is a ``mask_index`` keyed by
+    ``on + view_id (+ extra)``.  Of several ``layers``, each has its views and its columns, named
+    ``votes_layer`` and ``visible_layer``.  Only pixels inside an image are looked up, each in the
+    one word of its tile.  A splat that no view sees comes from a row of its own, with zeros.
     """
-    pts = df.select(*ids, *on, "x", "y", "z").join(small(views.select(*on, "view_id", *CAMERA, *extra)), on)
-    away = -1 - F.pmod(F.xxhash64(*ids), F.lit(1024)).cast("int")
-    pts = project(pts, rule).select(
-        *ids, *on, "view_id", *extra, F.col("inside").alias("_in"), F.col("px").alias("_x"), F.coalesce("py", away).alias("y"),
-        F.coalesce(F.floor(F.col("px") / RUN_TILE).cast("int"), F.lit(-1)).alias("tile"))
-    keys = [*on, "view_id", *extra, "y", "tile"]
-    hit = pts.alias("p").join(small(runs).alias("r"), [
-        *[F.col(f"p.{c}") == F.col(f"r.{c}") for c in keys],
-        F.col("p._x").between(F.col("r.x0"), F.col("r.x1"))], "left")
-    return hit.groupBy(*[F.col(f"p.{c}").alias(c) for c in [*ids, *on, *extra]]).agg(
-        F.count_if(F.col("r.x0").isNotNull()).alias("votes"), F.count_if("p._in").alias("visible"))
-
-
-def masked_views(views: DataFrame, runs: DataFrame, on: list[str], extra: list[str] = []) -> DataFrame:
-    """The views that have a mask, and their number per group."""
-    have = runs.select(*on, "view_id", *extra).distinct()
-    return stage(views.join(have, [*on, "view_id"]))
-
-
-def view_counts(views: DataFrame, on: list[str]) -> DataFrame:
-    return views.groupBy(*on).agg(F.count_distinct("view_id").alias("n_views"))
+    has = [f"has_{n}" for n in layers]
+    pts = df.select(*ids, *on, "x", "y", "z").join(small(views.select(*on, "view_id", *CAMERA, *extra, *has)), on)
+    pts = project(pts, rule).where("inside").select(
+        *ids, *on, "view_id", *extra, *has, F.col("py").alias("y"), F.expr(f"px div {RUN_TILE}").cast("int").alias("tile"), F.expr(f"px % {RUN_TILE}").alias("_bit"))
+    rows = [*ids, *on, *extra]
+    covered = lambda n: F.expr(f"cast(has_{n} and coalesce(shiftright({n}, _bit) & 1L, 0L) = 1L as int)").alias(f"_v_{n}")
+    hit = pts.join(small(index.select(*on, "view_id", *extra, "y", "tile", *layers)), [*on, "view_id", *extra, "y", "tile"], "left").select(
+        *rows, *[covered(n) for n in layers], *[F.col(f"has_{n}").cast("int").alias(f"_s_{n}") for n in layers])
+    asked = df.select(*ids, *on).join(small(views.select(*on, *extra).distinct()), on)
+    none = asked.select(*rows, *[F.lit(0).alias(f"_{c}_{n}") for c in "vs" for n in layers])
+    total = lambda c, stem, n: F.sum(f"_{c}_{n}").alias(_named(stem, n, layers))
+    return hit.unionByName(none).groupBy(*rows).agg(*[total("v", "votes", n) for n in layers], *[total("s", "visible", n) for n in layers])
+
+
+def masked_views(views: DataFrame, index: DataFrame, on: list[str], extra: list[str] = [], layers: list[str] = ["mask"]) -> DataFrame:
+    """The views that have a mask in some layer, and ``has_layer``: whether in that one."""
+    have = index.groupBy(*on, "view_id", *extra).agg(*[(F.count(n) > 0).alias(f"has_{n}") for n in layers])
+    return stage(views.join(have.where(any_of([F.col(f"has_{n}") for n in layers])), [*on, "view_id"]))
+
+
+def view_counts(views: DataFrame, on: list[str], layers: list[str] = ["mask"]) -> DataFrame:
+    """``n_views`` of each group (``n_views_layer`` of several layers)."""
+    return views.groupBy(*on).agg(*[F.count_distinct(F.when(F.col(f"has_{n}"), F.col("view_id"))).alias(_named("n_views", n, layers)) for n in layers])
 
 
 def keep_mask_votes(voted: DataFrame, counts: DataFrame, on: list[str], frac: float,

@@ -41,8 +41,7 @@ class Inputs:
     boxes: DataFrame                      # padded boxes with item and label
     views: DataFrame
     planes: DataFrame
-    wide_masks: DataFrame                 # mask indexes per item and view
-    tight_masks: DataFrame
+    masks: DataFrame                      # mask index per item and view with the layers wide and tight
     view_boxes: DataFrame                 # views of items with the item's box
     ids: list[str]
     neighbours: DataFrame | None = None   # boxes of other items inside an item's box, cut out of its hull
@@ -90,26 +89,37 @@ class Extraction:
         g = self.g
         return g.splats.join(df.select(*g.ids, g.item), g.ids)
 
-    def _voted(self, df: DataFrame, masks: DataFrame, rule: str = "index") -> tuple[DataFrame, DataFrame]:
+    def _voted(self, df: DataFrame, layers: list[str], rule: str = "index") -> tuple[DataFrame, DataFrame]:
         """Votes of the object's own masks per row, and the number of views that have one."""
         g = self.g
         by_item = g.item in g.views.columns
-        seen = vo.masked_views(g.views, masks, self.keys) if by_item else vo.masked_views(g.views, masks, g.on, [g.item])
-        return vo.mask_votes(df, seen, masks, self.keys, g.ids, rule), vo.view_counts(seen, self.keys)
+        on, extra = (self.keys, []) if by_item else (g.on, [g.item])
+        seen = vo.masked_views(g.views, g.masks, on, extra, layers)
+        return vo.mask_votes(df, seen, g.masks, self.keys, g.ids, rule, layers=layers), vo.view_counts(seen, self.keys, layers)
 
-    def mask_vote(self, df: DataFrame, masks: DataFrame, frac: float) -> DataFrame:
-        """Rows with enough votes; three prompt terms or more lower the share."""
-        voted, counts = self._voted(df, masks)
+    def judged(self, df: DataFrame) -> DataFrame:
+        """Rows with the votes of both mask layers, taken in one pass, and what their object's votes must reach.
+
+        Three prompt terms or more lower the shares.  Rows of objects without masks are left out.
+        """
+        layers = ["wide", "tight"]
+        voted, counts = self._voted(df, layers)
         prompts = None
         if self.g.prompts is not None:
             counts, prompts = counts.join(self.g.prompts, self.keys, "left"), F.col("n_prompts")
-        return stage(_keep(df, vo.keep_mask_votes(voted, counts, self.keys, frac, prompts), self.row))
+        need = {f"need_{n}": vo.required_votes(F.col(f"n_views_{n}"), frac, prompts) for n, frac in zip(layers, (self.g.wide_frac, self.g.tight_frac))}
+        counts = counts.select(*self.keys, *[c.alias(n) for n, c in need.items()])
+        return stage(df.join(voted, [*self.g.ids, *self.keys]).join(staged_small(counts), self.keys))
+
+    def _enough(self, df: DataFrame, layer: str) -> DataFrame:
+        need = F.col(f"need_{layer}")
+        return df.where((need > 0) & (F.col(f"votes_{layer}") >= need) & (F.col(f"visible_{layer}") >= need))
 
     def wide(self, df: DataFrame) -> DataFrame:
-        return self.mask_vote(df, self.g.wide_masks, self.g.wide_frac)
+        return self._enough(df, "wide")
 
     def tight(self, df: DataFrame) -> DataFrame:
-        return self.mask_vote(df, self.g.tight_masks, self.g.tight_frac)
+        return self._enough(df, "tight")
 
     def floor(self, df: DataFrame) -> DataFrame:
         return df.where(~F.col("on_floor"))
@@ -122,8 +132,7 @@ class Extraction:
     def inside(self, df: DataFrame) -> DataFrame:
         """Insideness, the guarded ladder of each object, and its strictest safe rung."""
         g = self.g
-        score = vo.insideness(self._voted(df, g.wide_masks)[0]).select(*self.row, "insideness")
-        scored = stage(df.join(score, self.row))
+        scored = vo.insideness(df.withColumns({"votes": F.col("votes_wide"), "visible": F.col("visible_wide")}))
         rungs = [(f"{t:.2f}", t) for t in k.SCORE_LADDER]
         sweep = sel.threshold_sweep(scored, self.keys, rungs, lambda t: F.col("insideness") >= t)
         sweep = sweep.withColumn("thresh", F.col("name").cast("double"))
@@ -138,26 +147,26 @@ class Extraction:
 
 
 def extract_general(e: Extraction) -> DataFrame:
-    return e.destreak(e.inside(e.box(e.floor(e.tight(e.wide(e.hull(["general"])))))))
+    return e.destreak(e.inside(e.box(e.floor(e.tight(e.wide(e.judged(e.hull(["general"]))))))))
 
 
 def extract_bookshelf(e: Extraction) -> DataFrame:
     """The general route without the floor step."""
-    return e.destreak(e.inside(e.box(e.tight(e.wide(e.hull(["bookshelf"]))))))
+    return e.destreak(e.inside(e.box(e.tight(e.wide(e.judged(e.hull(["bookshelf"])))))))
 
 
 def extract_table(e: Extraction) -> DataFrame:
-    return e.floor(e.wide(e.hull(["table"])))
+    return e.floor(e.wide(e.judged(e.hull(["table"]))))
 
 
 def extract_lamp(e: Extraction) -> DataFrame:
-    return e.destreak(e.box(e.wide(e.hull(["lamp"]))))
+    return e.destreak(e.box(e.wide(e.judged(e.hull(["lamp"])))))
 
 
 def extract_tv(e: Extraction, frac: float = k.TV_VOTE_FRAC) -> DataFrame:
     """Rounded projection votes on the hull of each screen."""
     df = e.hull(["tv"], carve=False)
-    voted, counts = e._voted(df, e.g.wide_masks, "round")
+    voted, counts = e._voted(df, ["wide"], "round")
     return _keep(df, vo.keep_mask_votes(voted, counts, e.keys, frac, need_visible=False), e.row)
 
 

@@ -60,3 +60,41 @@ def test_box_votes_fold_views_before_the_only_shuffle(spark, tmp_path):
     hit = seen & (u >= 10) & (u <= 60) & (v >= 10) & (v <= 60)
     got = df.toPandas().set_index("id").sort_index()
     assert (got.visible == 3 * seen).all() and (got.votes == 3 * hit).all() and (got.n_views == 3).all() and hit.sum() > 10
+
+
+def test_only_pixels_in_an_image_are_looked_up(spark, tmp_path):
+    """With every side over the broadcast limit, the exchange below the look-up stands on a filter for the image."""
+    s = parquet(spark, tmp_path / "s")
+    cam = dict(scene_id=0, f=50.0, w=100, h=80, **{f"r{i}{j}": float(i == j) for i in range(3) for j in range(3)}, t0=0.0, t1=0.0, t2=-5.0)
+    views = spark.createDataFrame(pd.DataFrame([cam | {"view_id": i} for i in range(3)]))
+    runs = spark.createDataFrame([(0, i, y, 5, 70) for i in range(3) for y in range(10, 50)], "scene_id bigint, view_id bigint, y int, x0 int, x1 int")
+    index = vo.mask_index(runs, ["scene_id", "view_id"])
+    seen = vo.masked_views(views, index, ["scene_id"])
+    spark.conf.set("motefield.broadcast.bytes", "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = vo.mask_votes(s, seen, index, ["scene_id"], ["id"])
+        tree = plan(df).split("\n\n")[0]
+        below = tree[tree.index("SortMergeJoin LeftOuter"):]
+        moved = below[below.index("Exchange") + 1:]
+        moved = moved[:moved.index("Exchange")]
+        filters = re.findall(r"Filter \((\d+)\)", moved)
+        said = [re.search(rf"\({n}\) Filter.*?Condition : ([^\n]*)", plan(df), re.S).group(1) for n in filters]
+        assert any(re.fullmatch(r"\(?inside#\d+\)?", c) or "inside#" in c for c in said), said
+        rows = df.count()
+    finally:
+        spark.conf.unset("motefield.broadcast.bytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == s.count()
+
+
+def test_tile_words_hold_each_pixel_once(spark):
+    runs = [(0, 3, 0, 63), (0, 3, 60, 64), (0, 3, 127, 128), (0, 4, 130, 400), (0, 5, 7, 7), (0, 5, 7, 9), (0, 6, 9, 8), (1, 3, 191, 192)]
+    index = vo.mask_index(spark.createDataFrame(runs, "view_id int, y int, x0 int, x1 int"), ["view_id"], {"all": F.lit(True), "low": F.col("x1") < 100}).toPandas()
+    def pixels(layer):
+        words = index[index[layer].notna()]
+        return sorted((r.view_id, r.y, r.tile * 64 + i) for r in words.itertuples() for i in range(64) if int(getattr(r, layer)) >> i & 1)
+    want = lambda keep: sorted({(v, y, x) for v, y, a, b in runs if keep(b) for x in range(a, b + 1)})
+    assert not index.duplicated(["view_id", "y", "tile"]).any()
+    assert pixels("all") == want(lambda b: True)
+    assert pixels("low") == want(lambda b: b < 100)

@@ -1,7 +1,9 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from motefield.operators import quantiles as q
 from motefield.operators.quantiles import axis_percentiles, ordered_bucket, percentiles
 from motefield.operators.voxels import with_colour_distance, with_voxel_count
 
@@ -80,3 +82,55 @@ def test_voxel_counts_and_colour(spark, side):
     dc = pdf[[f"f_dc_{i}" for i in range(3)]]
     want = np.linalg.norm(dc - dc.groupby(key).transform("mean"), axis=1)
     assert np.allclose(got.colour_dist, want)
+
+
+def plain_cuts(part, steps):
+    """Percentiles of the rows left, one step after the other."""
+    left, out = part[np.isfinite(part.v)], []
+    for pct, below, always in steps:
+        out.append(np.percentile(left.v, pct) if len(left) else None)
+        drop = left[always] | ((left.v < out[-1]) & left[below]) if len(left) else []
+        left = left[~np.array(drop, bool)]
+    return out
+
+
+@pytest.mark.parametrize("crowded", [None, 40])
+def test_chained_cuts_are_those_of_one_step_after_the_other(spark, side, crowded):
+    rng = np.random.default_rng(11)
+    sizes = {0: 4000, 1: 1, 2: 37, 3: 900, 4: 5}
+    parts = []
+    for g, n in sizes.items():
+        v = {0: rng.normal(size=n), 3: 5e5 + rng.integers(0, 7, n) / 1024}.get(g, rng.integers(0, 5, n).astype(float))
+        parts.append(pd.DataFrame({"g": g, "v": v, "yes": True, "no": False, "a": rng.random(n) < 0.5, "b": rng.random(n) < (1.0 if g == 4 else 0.2)}))
+    pdf = pd.concat(parts, ignore_index=True)
+    pdf.loc[rng.random(len(pdf)) < 0.02, "v"] = np.nan
+    steps = [(10.0, "yes", "b"), (10.0, "a", "no"), (50.0, "yes", "no"), (97.0, "a", "a"), (10.0, "no", "no")]
+    if crowded:
+        spark.conf.set("motefield.crowded.rows", str(crowded))
+    try:
+        df = spark.createDataFrame(pdf).withColumn("g", F.when(F.col("g") != 2, F.col("g")))
+        cuts = q.chained_cuts(df, ["g"], F.col("v"), [q.Cut(f"c{i}", p, F.col(lo), F.col(al)) for i, (p, lo, al) in enumerate(steps)])
+        got = {r.g: [r[f"c{i}"] for i in range(len(steps))] for r in cuts.collect()}
+    finally:
+        spark.conf.unset("motefield.crowded.rows")
+    want = {None if g == 2 else g: plain_cuts(part, steps) for g, part in pdf.groupby("g")}
+    assert set(got) == {g for g, w in want.items() if w[0] is not None}
+    for g in got:
+        for a, b in zip(want[g], got[g]):
+            assert (a is None) == (b is None) and (a is None or b == pytest.approx(float(a), rel=1e-14, abs=0)), (g, want[g], got[g])
+    assert got[4][1:] == [None] * 4
+
+
+def test_chained_cuts_read_the_rows_twice(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    pd.DataFrame({"g": rng.integers(0, 3, 20000), "v": rng.normal(size=20000), "a": rng.random(20000) < 0.3}).to_parquet(tmp_path / "t.parquet")
+    written = []
+    keep = q.stage
+    q.stage = lambda df: written.append(df) or keep(df)
+    try:
+        df = spark.read.parquet(str(tmp_path / "t.parquet"))
+        no = F.lit(False)
+        assert q.chained_cuts(df, ["g"], F.col("v"), [q.Cut("c", 10.0, F.lit(True), no), q.Cut("d", 10.0, F.col("a"), no), q.Cut("e", 10.0, no, no)]).count() == 3
+    finally:
+        q.stage = keep
+    assert len(written) == 2
