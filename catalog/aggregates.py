@@ -21,7 +21,7 @@ from motefield.staging import stage
 
 from .cleaning import MAXS, OBJ, _BRIGHT, _S2, lg
 from .fixtures import mean, oracle, pct, table, hash_cte
-from .joins import (BOX_CTE, PART_CTE, S, _SCORE, _SUB, part_links, parts, resolve_cte, runs, scored, stage_splats, view_boxes,
+from .joins import (BOX_CTE, PART_CTE, S, _SCORE, _SUB, part_links, parts, resolve_cte, runs, scored, stage_splats,
                     views)
 from .registry import query
 from .rows import H, ID, KEY, PX_CTE, W, _CENTRE, _P298, _TAN35, pixel_items, proj, splats

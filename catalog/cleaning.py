@@ -13,7 +13,7 @@ from motefield.operators import voxels as vx
 
 from .fixtures import mean, oracle, pct, table
 from .registry import query
-from .rows import (BOUNDS_CTE, H, ID, KEY, PX_CTE, QUAD_CTE, W, _BRIGHT, _PLANE_CTE, like_any, parquet_splats, pixel_items, proj,
+from .rows import (BOUNDS_CTE, H, ID, KEY, PROC, PX_CTE, QUAD_CTE, W, _BRIGHT, _PLANE_CTE, like_any, parquet_splats, pixel_items, proj,
                    splats, vox)
 
 LOG = __import__("math").log
@@ -174,34 +174,38 @@ def bottom_band_carve(spark, sf):
     return ids(fl.bottom_band_carve(s, ["scene_id", "object_id"], "score", 0.45, 25.0))
 
 
-def rug_box_items(spark, sf):
-    """The rug box of a scene: its first item."""
-    return pixel_items(spark, sf).groupBy("scene_id").agg(F.min_by(F.struct("x0", "y0", "x1", "y1"), "item_id").alias("b")).select(
-        "scene_id", *[F.greatest(F.lit(0), (F.col(f"b.{c}") - 40)).alias(c) for c in ("x0", "y0")],
-        *[(F.col(f"b.{c}") + 40).alias(c) for c in ("x1", "y1")])
+def rug_boxes(spark, sf):
+    """The widened box of every item whose label takes the rug route."""
+    it = pixel_items(spark, sf).where(lb.procedure(F.col("label")) == "rug")
+    return it.select("scene_id", "item_id", *[F.greatest(F.lit(0), F.col(c) - 40).alias(c) for c in ("x0", "y0")], *[(F.col(c) + 40).alias(c) for c in ("x1", "y1")])
 
 
-RUG_CTE = PX_CTE + ", " + proj("cam", "flt") + """,
-  rb AS (SELECT scene_id, greatest(0, min_by(x0, item_id) - 40) AS x0, greatest(0, min_by(y0, item_id) - 40) AS y0,
-    min_by(x1, item_id) + 40 AS x1, min_by(y1, item_id) + 40 AS y1 FROM px GROUP BY scene_id),
-  rp AS (SELECT flt.* FROM flt JOIN rb USING (scene_id) WHERE view_id = 0 AND front AND u >= 0 AND u < w AND v >= 0 AND v < h
-    AND u >= x0 AND u <= x1 AND v >= y0 AND v <= y1), """ + pct("rs", "rp", "scene_id", [("surface", "y", 95.0)]) + """,
-  rug AS (SELECT rp.* FROM rp JOIN rs USING (scene_id) WHERE y >= surface - 0.10e0 AND y <= surface + 0.05e0)"""
+RUG_CTE = PX_CTE + ", " + proj("cam", "flt") + f""",
+  rb AS (SELECT scene_id, item_id, greatest(0, x0 - 40) AS x0, greatest(0, y0 - 40) AS y0, x1 + 40 AS x1, y1 + 40 AS y1 FROM px WHERE {PROC} = 'rug'),
+  rp AS (SELECT flt.*, item_id FROM flt JOIN rb USING (scene_id) WHERE view_id = 0 AND front AND u >= 0 AND u < w AND v >= 0 AND v < h
+    AND u >= x0 AND u <= x1 AND v >= y0 AND v <= y1), """ + pct("rs", "rp", "scene_id, item_id", [("surface", "y", 95.0)]) + """,
+  rug AS (SELECT rp.* FROM rp JOIN rs USING (scene_id, item_id) WHERE y >= surface - 0.10e0 AND y <= surface + 0.05e0)"""
+RUG = ["scene_id", "item_id"]
+
+
+def rug_cones(spark, sf):
+    """Splats in the box of each rug, a row per splat and rug."""
+    view = table(spark, sf, "views").where("view_id = 0")
+    return hl.in_boxes(hl.seen(splats(spark, sf), view, ["scene_id"]), rug_boxes(spark, sf), ["scene_id"], ["item_id"])
+
+
+def in_image():
+    u, v = F.col("u"), F.col("v")
+    return F.col("front") & (u >= 0) & (u < F.col("w")) & (v >= 0) & (v < F.col("h"))
 
 
 def rug(spark, sf):
-    from motefield.functions import boxes as bx
-    from motefield.staging import small
-    v = table(spark, sf, "views").where("view_id = 0")
-    seen = hl.seen(splats(spark, sf), v, ["scene_id"]).join(small(rug_box_items(spark, sf)), "scene_id")
-    u, w = F.col("u"), F.col("v")
-    test = (F.col("front") & (u >= 0) & (u < F.col("w")) & (w >= 0) & (w < F.col("h")) & bx.contains(bx.box(), u, w))
-    return fl.rug_band(seen, ["scene_id"], test)
+    return fl.rug_band(rug_cones(spark, sf), RUG, in_image())
 
 
-@query("rug_band", oracle(["splats", "views", "items"], f"SELECT {ID} FROM rug", RUG_CTE))
+@query("rug_band", oracle(["splats", "views", "items"], f"SELECT {ID}, item_id FROM rug", RUG_CTE))
 def rug_band(spark, sf):
-    return ids(rug(spark, sf))
+    return ids(rug(spark, sf), "item_id")
 
 
 DEPTH_CTE = """dd AS (SELECT *, (x - 0.5e0) * 0.6e0 + (y - 0.25e0) * 0e0 + (z - -0.5e0) * 0.8e0 AS depth FROM splats),

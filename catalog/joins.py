@@ -159,43 +159,46 @@ def child_vote(spark, sf):
     return out.select(*KEY, "prompt_id", "votes", "visible")
 
 
-def view_boxes(spark, sf, pad):
-    """A box per view: the first item of the scene whose number falls on the view."""
-    it = pixel_items(spark, sf).withColumn("view_id", (F.floor(F.col("k") / 4) % 8).cast("int"))
-    it = it.groupBy("scene_id", "view_id").agg(F.min_by(F.struct("x0", "y0", "x1", "y1"), "item_id").alias("b"))
-    wide = [F.floor(F.col("b.x0") / 3).cast("int").alias("x0"), F.floor(F.col("b.y0") / 3).cast("int").alias("y0"),
-            (F.col("b.x1") + 20).alias("x1"), (F.col("b.y1") + 10).alias("y1")]
-    it = it.select("scene_id", "view_id", *wide)
+def item_boxes(spark, sf, pad):
+    """Each item's box in its views, widened and padded."""
+    it = pixel_items(spark, sf).join(table(spark, sf, "item_views").select("item_id", "view_id"), "item_id")
+    wide = {"x0": F.floor(F.col("x0") / 3).cast("int"), "y0": F.floor(F.col("y0") / 3).cast("int"), "x1": F.col("x1") + 20, "y1": F.col("y1") + 10}
+    it = it.withColumns(wide).select("scene_id", "item_id", "view_id", "x0", "y0", "x1", "y1")
     return views(spark, sf).join(it.withColumns(bx.as_columns(pad(bx.box()))), ["scene_id", "view_id"])
 
 
-_VB = """vb0 AS (SELECT scene_id, CAST(floor(k / 4) AS BIGINT) % 8 AS view_id, CAST(floor(min_by(x0, item_id) / 3) AS INTEGER) AS x0,
-  CAST(floor(min_by(y0, item_id) / 3) AS INTEGER) AS y0, min_by(x1, item_id) + 20 AS x1, min_by(y1, item_id) + 10 AS y1 FROM px GROUP BY 1, 2)"""
-
-
-def _vb(pad):
-    return f"{_VB}, vb AS (SELECT scene_id, view_id, count(*) OVER (PARTITION BY scene_id) AS n, {pad} FROM vb0)"
+def item_box_cte(pad):
+    """Boxes per item and view as ``vb``, with the number of views of the item."""
+    return f"""vb0 AS (SELECT px.scene_id, px.item_id, view_id, CAST(floor(x0 / 3) AS INTEGER) AS x0, CAST(floor(y0 / 3) AS INTEGER) AS y0, x1 + 20 AS x1, y1 + 10 AS y1
+    FROM px JOIN (SELECT item_id, view_id FROM item_views) AS iv USING (item_id)),
+  vb AS (SELECT item_id, view_id, count(*) OVER (PARTITION BY item_id) AS n, {pad} FROM vb0)"""
 
 
 from .rows import pad_sql  # noqa: E402
 
+_VOTE_USES = ["splats", "views", "items", "item_views"]
+_OWN = "SELECT h.ok, h.pk, h.sk, h.ln, h.item_id, n, s.* EXCLUDE (ok, pk, sk, ln), x0, y0, x1, y1 FROM hl AS h JOIN flt AS s USING (ok, pk, sk, ln) JOIN vb ON vb.item_id = h.item_id AND vb.view_id = s.view_id"
+
 
-@query("bbox_vote", oracle(["splats", "views", "items"], f"SELECT {ID}, votes, visible FROM (SELECT {ID}, n, count(*) FILTER (WHERE seen) AS visible, "
-       f"count(*) FILTER (WHERE seen AND u >= x0 AND u <= x1 AND v >= y0 AND v <= y1) AS votes FROM (SELECT s.*, x0, y0, x1, y1, n, "
-       f"front AND u >= 0 AND u < w AND v >= 0 AND v < h AS seen FROM flt AS s JOIN vb ON s.scene_id = vb.scene_id AND s.view_id = vb.view_id) AS a GROUP BY {ID}, n) AS b "
+@query("bbox_vote", oracle(_VOTE_USES, f"SELECT {ID}, item_id, votes, visible FROM (SELECT {ID}, item_id, n, count(*) FILTER (WHERE seen) AS visible, "
+       f"count(*) FILTER (WHERE seen AND u >= x0 AND u <= x1 AND v >= y0 AND v <= y1) AS votes FROM (SELECT *, "
+       f"front AND u >= 0 AND u < w AND v >= 0 AND v < h AS seen FROM ({_OWN}) AS o) AS a GROUP BY {ID}, item_id, n) AS b "
        f"WHERE votes >= ceil(0.6e0 * n) AND visible >= ceil(0.6e0 * n)",
-       ", ".join([PX_CTE, _vb(pad_sql("(x1 - x0) * 0.05e0", "(y1 - y0) * 0.05e0", "(y1 - y0) * 0.12e0")), FLT])))
+       ", ".join([PX_CTE, pad_cte("pd", 0.04), item_box_cte(pad_sql("(x1 - x0) * 0.05e0", "(y1 - y0) * 0.05e0", "(y1 - y0) * 0.12e0")), FLT,
+                  f"hl AS (SELECT {_S_ID}, item_id FROM flt AS s JOIN pd ON s.scene_id = pd.scene_id WHERE view_id = 0 AND {_IN})"])))
 def bbox_vote(spark, sf):
-    vb = view_boxes(spark, sf, lambda b: bx.pad_with_top(b, k.BOX_VOTE_PAD, k.BOX_VOTE_TOP, F.lit(W), F.lit(H)))
-    return vo.keep_box_votes(vo.box_votes(splats(spark, sf), vb, S, KEY)).select(*KEY, "votes", "visible")
+    """Every item's hull, judged by the item's own boxes."""
+    hull = hl.visual_hull(splats(spark, sf).select(*KEY, "scene_id", "x", "y", "z"), view0(spark, sf), padded(spark, sf, k.HULL_PAD), S)
+    vb = item_boxes(spark, sf, lambda b: bx.pad_with_top(b, k.BOX_VOTE_PAD, k.BOX_VOTE_TOP, F.lit(W), F.lit(H)))
+    return vo.keep_box_votes(vo.box_votes(hull, vb, [*S, "item_id"], KEY)).select(*KEY, "item_id", "votes", "visible")
 
 
-@query("art_bbox_vote", oracle(["splats", "views", "items"], f"SELECT {ID}, votes FROM (SELECT {ID}, n, "
-       f"count(*) FILTER (WHERE {_IN}) AS votes FROM flt AS s JOIN vb ON s.scene_id = vb.scene_id AND s.view_id = vb.view_id GROUP BY {ID}, n) AS b "
-       f"WHERE votes >= greatest(1, ceil(0.5e0 * n))", ", ".join([PX_CTE, _vb(pad_sql("(x1 - x0) * 0.03e0", "(y1 - y0) * 0.03e0")), FLT])))
+@query("art_bbox_vote", oracle(_VOTE_USES, f"SELECT {ID}, item_id, votes FROM (SELECT {ID}, item_id, n, count(*) FILTER (WHERE {_IN}) AS votes FROM ({_OWN}) AS a GROUP BY {ID}, item_id, n) AS b "
+       f"WHERE votes >= greatest(1, ceil(0.5e0 * n))", ", ".join([_ART, item_box_cte(pad_sql("(x1 - x0) * 0.03e0", "(y1 - y0) * 0.03e0")), "hl AS (SELECT * FROM art)"])))
 def art_bbox_vote(spark, sf):
-    vb = view_boxes(spark, sf, lambda b: bx.pad(b, k.ART_VIEW_PAD, F.lit(W), F.lit(H)))
-    return vo.keep_art_votes(vo.box_votes(splats(spark, sf), vb, S, KEY, in_image=False)).select(*KEY, "votes")
+    hull = art(spark, sf, k.ART_PAD).select(*KEY, "scene_id", "x", "y", "z", "item_id")
+    vb = item_boxes(spark, sf, lambda b: bx.pad(b, k.ART_VIEW_PAD, F.lit(W), F.lit(H)))
+    return vo.keep_art_votes(vo.box_votes(hull, vb, [*S, "item_id"], KEY, in_image=False)).select(*KEY, "item_id", "votes")
 
 
 _SCORE = VOTE_CTE + ", sc AS (SELECT *, CASE WHEN visible > 0 THEN CAST(votes AS DOUBLE) / visible ELSE 0.5e0 END AS insideness FROM vt)"
@@ -285,21 +288,21 @@ SIB_CTE = RUG_CTE + ", " + resolve_cte("lt", k.RUG_SIBLING_STAGES) + f""",
   sib AS (SELECT s.* FROM stage_splats AS s JOIN lt USING (scene_id, object_id, stage)),
   mid AS (SELECT scene_id, object_id, {mean('x')} AS mx, {mean('z')} AS mz
     FROM sib GROUP BY scene_id, object_id),
-  area AS (SELECT scene_id, min(x) AS xl, max(x) AS xh, min(z) AS zl, max(z) AS zh FROM rug GROUP BY scene_id),
-  onrug AS (SELECT scene_id, object_id FROM mid JOIN area USING (scene_id) WHERE mx BETWEEN xl AND xh AND mz BETWEEN zl AND zh),
-  near AS (SELECT * FROM sib JOIN onrug USING (scene_id, object_id)),
-  rugonly AS (SELECT * FROM rug AS r WHERE NOT EXISTS (SELECT 1 FROM near AS n WHERE n.scene_id = r.scene_id
+  area AS (SELECT scene_id, item_id, min(x) AS xl, max(x) AS xh, min(z) AS zl, max(z) AS zh FROM rug GROUP BY scene_id, item_id),
+  onrug AS (SELECT scene_id, item_id, object_id FROM mid JOIN area USING (scene_id) WHERE mx BETWEEN xl AND xh AND mz BETWEEN zl AND zh),
+  near AS (SELECT scene_id, onrug.item_id, x, y, z FROM sib JOIN onrug USING (scene_id, object_id)),
+  rugonly AS (SELECT * FROM rug AS r WHERE NOT EXISTS (SELECT 1 FROM near AS n WHERE n.scene_id = r.scene_id AND n.item_id = r.item_id
     AND (n.x - r.x) * (n.x - r.x) + (n.y - r.y) * (n.y - r.y) + (n.z - r.z) * (n.z - r.z) < 0.05e0 * 0.05e0))"""
 
 
 def rug_alone(spark, sf):
     from motefield.staging import stage
-    return sp.sibling_subtract(stage(rug(spark, sf)), latest(spark, sf, k.RUG_SIBLING_STAGES), S, "object_id", KEY, k.SIBLING_RADIUS_M)
+    return sp.sibling_subtract(stage(rug(spark, sf)), latest(spark, sf, k.RUG_SIBLING_STAGES), S, "object_id", KEY, k.SIBLING_RADIUS_M, ["item_id"])
 
 
-@query("sibling_subtract", oracle(["splats", "views", "items", "stage_splats"], f"SELECT {ID} FROM rugonly", SIB_CTE))
+@query("sibling_subtract", oracle(["splats", "views", "items", "stage_splats"], f"SELECT {ID}, item_id FROM rugonly", SIB_CTE))
 def sibling_subtract(spark, sf):
-    return rug_alone(spark, sf).select(*KEY)
+    return rug_alone(spark, sf).select(*KEY, "item_id")
 
 
 KNN_CTE = """kp AS (SELECT scene_id, object_id, ok, pk, sk, ln, x, y, z FROM splats),
@@ -319,7 +322,7 @@ from .cleaning import MAXS, aniso_sql, lg  # noqa: E402
 
 @query("destreak_geometry", oracle(["splats"], f"""SELECT {ID} FROM kj JOIN ki USING (scene_id, object_id) WHERE NOT (y >= hi - 0.25e0 * (hi - lo)
   AND {MAXS} > {lg(0.07)} AND {aniso_sql(4.0, 1e-6)} AND isolation > iso)""", KNN_CTE + """,
-  kj AS (SELECT s.*, isolation, min(y) OVER (PARTITION BY scene_id, object_id) AS lo, max(y) OVER (PARTITION BY scene_id, object_id) AS hi
+  kj AS MATERIALIZED (SELECT s.*, isolation, min(y) OVER (PARTITION BY scene_id, object_id) AS lo, max(y) OVER (PARTITION BY scene_id, object_id) AS hi
     FROM splats AS s JOIN kn USING (ok, pk, sk, ln)), """ + pct("ki", "kj", "scene_id, object_id", [("iso", "isolation", 90.0)])))
 def destreak_geometry(spark, sf):
     return fl.destreak_geometry(splats(spark, sf), OBJ, KEY).select(*KEY)

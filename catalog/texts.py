@@ -13,7 +13,7 @@ from .aggregates import CANON, CANON_CTE, NORM, SING_CTE, _SLUG, norm_items
 from .cleaning import OBJ, like_any
 from .fixtures import oracle, table
 from .registry import query
-from .rows import H, W
+from .rows import H, PROC, W
 
 
 def items(spark, sf, **cols):
@@ -226,11 +226,6 @@ def _rx(p):
     return p.replace("'", "''")
 
 
-PROC = (f"CASE WHEN regexp_matches(label, '(?i){lb.TV_WORDS}') AND NOT regexp_matches(label, '(?i){lb.TV_NOT}') THEN 'tv' WHEN regexp_matches(label, '(?i){lb.LAMP_WORDS}') THEN 'lamp' "
-        f"WHEN regexp_matches(label, '(?i)\\b(bookshelf|book[- ]?shelf|bookcase|shelving(?:\\s+unit)?|open\\s+shelving|shelf|shelves)\\b') THEN 'bookshelf' WHEN regexp_matches(label, '(?i){lb.RUG_WORDS}') THEN 'rug' "
-        f"WHEN regexp_matches(label, '(?i){lb.TABLE_WORDS}') AND NOT regexp_matches(label, '(?i){lb.TABLE_NOT}') THEN 'table' ELSE 'general' END")
-
-
 @query("decide_procedure", oracle(["items"], f"SELECT item_id, {PROC} AS procedure FROM items"))
 def decide_procedure(spark, sf):
     return items(spark, sf).select("item_id", lb.procedure(F.col("label")).alias("procedure"))

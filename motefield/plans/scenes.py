@@ -170,9 +170,10 @@ def extract_tv(e: Extraction, frac: float = k.TV_VOTE_FRAC) -> DataFrame:
     return _keep(df, vo.keep_mask_votes(voted, counts, e.keys, frac, need_visible=False), e.row)
 
 
-def extract_rug(seen: DataFrame, box_test: Column, siblings: DataFrame, keys: list[str], obj: str, ids: list[str]) -> DataFrame:
-    band = stage(fl.rug_band(seen, keys, box_test))
-    return sp.sibling_subtract(band, siblings, keys, obj, ids, k.SIBLING_RADIUS_M)
+def extract_rug(cones: DataFrame, in_image: Column, siblings: DataFrame, scene: list[str], item: str, obj: str, ids: list[str]) -> DataFrame:
+    """Of each rug: the band around its surface in its box, without what stands on it.  ``cones``: a row per splat and rug."""
+    band = stage(fl.rug_band(cones, [*scene, item], in_image))
+    return sp.sibling_subtract(band, siblings, scene, obj, ids, k.SIBLING_RADIUS_M, [item])
 
 
 def extract_art(hull: DataFrame, view_boxes: DataFrame, eyes: DataFrame, on: list[str], item: str, ids: list[str]) -> DataFrame:
