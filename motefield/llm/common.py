@@ -277,7 +277,8 @@ def as_read(df: DataFrame) -> DataFrame:
     return df.select("*", F.concat(F.lpad(part, 10, "0"), path).alias("__file"), F.col("_metadata.row_index").alias("__at"))
 
 
-def running(df: DataFrame, group: list[str], value: str, name: str, rows: int = 2048, order: tuple[str, str] | None = None) -> DataFrame:
+def running(df: DataFrame, group: list[str], value: str, name: str, rows: int = 2048, order: tuple[str, str] | None = None,
+            total: int | None = None) -> DataFrame:
     """``df`` with ``name``: the sum of ``value`` over the rows of the group that come before, and ``__h``, the order.
 
     The order is that of a hash of the whole row, so equal rows may stand in either order;
@@ -285,13 +286,14 @@ def running(df: DataFrame, group: list[str], value: str, name: str, rows: int =
     The hash's leading bits, or the positions of a file, cut each group into ranges of about
     ``rows`` rows; sums of ranges and of stretches of ranges (or files) are added up first, so
     no window holds a whole group.  Nulls in the group columns make a group of their own.
+    ``total`` is the number of rows, counted here where it is not given.
     """
     if order:
         file, at = order
         df = df.withColumn("__h", F.col(at)).withColumn("__g", F.struct(F.col(file).alias("file"), F.expr(f"{at} div {int(rows)}").alias("range")))
         wider = F.col("__g.file")
     else:
-        bits = max(0, int(df.count() // rows).bit_length())
+        bits = max(0, int((df.count() if total is None else total) // rows).bit_length())
         high = F.shiftright(F.col("__h"), 64 - bits) if bits else F.lit(0).cast("long")
         df = df.withColumn("__h", F.xxhash64(F.lit(29), *df.columns)).withColumn("__g", high)
         wider = F.shiftright(F.col("__g"), bits // 2)

@@ -90,9 +90,10 @@ def batch(docs: DataFrame, buckets: int = BUCKETS, batch_tokens: int = BATCH_TOK
     names = ["pack_tokens", "pack_length", "pack_batch", "pack_row"]
     docs = docs.drop(*names)
     measured = computed(as_read(docs) if keep_order else docs, {"pack_tokens": word_count() + 1})      # counted once for all bounds
-    bounds = best_bounds(*histogram(measured, "pack_tokens"), buckets)
+    lengths, counts = histogram(measured, "pack_tokens")
+    bounds = best_bounds(lengths, counts, buckets)
     listed = ", ".join(f"{b}L" for b in bounds) or "1L"
     measured = measured.withColumn("pack_length", F.expr(f"filter(array({listed}), b -> b >= pack_tokens)[0]")).withColumn("__one", F.lit(1).cast("long"))
-    placed = running(measured, ["pack_length"], "__one", "__place", order=("__file", "__at") if keep_order else None)
+    placed = running(measured, ["pack_length"], "__one", "__place", order=("__file", "__at") if keep_order else None, total=int(counts.sum()))
     rows = f"greatest(1L, {int(batch_tokens)} div pack_length)"
     return placed.select(*docs.columns, "pack_tokens", "pack_length", F.expr(f"__place div {rows}").alias("pack_batch"), F.expr(f"__place % {rows}").alias("pack_row"))
