@@ -29,7 +29,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not names:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     letters = F.regexp_count("text", F.lit(r"\p{L}"))
-    near = F.col("score") >= LEAST_SCORE * F.sqrt(letters / (letters + REPEATS_ONCE_IN))
+    enough = F.col("score") >= LEAST_SCORE                      # at any length, so that few letters are counted
+    near = enough | (F.col("score") >= LEAST_SCORE * F.sqrt(letters / (letters + REPEATS_ONCE_IN)))
     return _beside(docs, lambda d: language.predict(d, names, profiles).where((F.col("lang_pred") != language.UNKNOWN) & near))
 
 
