@@ -351,7 +351,7 @@ def merge_scene(spark, sf):
     return merged(spark, sf)[2]
 
 
-@query("reassembly_check", oracle(["splats", "stage_splats"], """SELECT scene_id, b + o AS merged_total, b AS background_splats, o AS object_total_splats, b + o AS expected_if_no_overlap, CAST(0 AS BIGINT) AS delta
+@query("reassembly_check", oracle(["splats", "stage_splats"], """SELECT scene_id, b + o AS merged_total, b AS background_splats, o AS object_total_splats, b + o AS expected_if_no_overlap, CAST(0 AS BIGINT) AS delta, TRUE AS same_rows
   FROM (SELECT scene_id, count(*) AS b FROM bk GROUP BY scene_id) AS x JOIN (SELECT scene_id, count(*) AS o FROM ob GROUP BY scene_id) AS y USING (scene_id)""", _MERGE))
 def reassembly_check(spark, sf):
     return inv.reassembly_check(*merged(spark, sf), S)

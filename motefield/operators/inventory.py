@@ -80,14 +80,32 @@ def merge_scene(background: DataFrame, objects: DataFrame) -> DataFrame:
     return (both.fillna(0, filled) if filled else both).select(*cols)
 
 
+def fingerprint(columns: list[str], seed: int) -> Column:
+    """Sum of row hashes: the same for the same rows in any order, copies counted.  Nulls are marked by place."""
+    marks = [F.col(c).isNull() for c in columns]
+    return F.sum(F.xxhash64(F.lit(seed), *columns, *marks).cast("decimal(20,0)"))
+
+
 def reassembly_check(background: DataFrame, objects: DataFrame, merged: DataFrame, keys: list[str]) -> DataFrame:
-    """Counts of the parts against the count of the whole."""
-    b = background.groupBy(*keys).agg(F.count("*").alias("background_splats"))
-    o = objects.groupBy(*keys).agg(F.count("*").alias("object_total_splats"))
-    m = merged.groupBy(*keys).agg(F.count("*").alias("merged_total"))
-    out = m.join(b, keys, "left").join(o, keys, "left").fillna(0)
+    """Counts of the parts against the count of the whole, and whether the rows are the ``same_rows``.
+
+    Rows are compared as multisets by two sums of 64-bit hashes over all columns of ``merged``, so
+    an exchanged row with equal counts shows.  A group of the parts alone is reported with a
+    ``merged_total`` of 0.  One pass and one shuffle of sums.
+    """
+    tag = lambda df, part: df.withColumn("_part", F.lit(part))
+    parts = merge_scene(tag(background, "b"), tag(objects, "o"))
+    rows = parts.select("_part", *[F.col(f.name).cast(f.dataType) for f in merged.schema]).unionByName(tag(merged, "m"))
+    sums = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), *[fingerprint(merged.columns, i).alias(f"_h{i}") for i in (0, 1)])
+    part = lambda *names: F.col("_part").isin(*names)
+    count = lambda *names: F.coalesce(F.sum(F.when(part(*names), F.col("_n"))), F.lit(0)).cast("long")
+    rest = [F.sum(F.when(part("m"), F.col(h)).otherwise(-F.col(h))) for h in ("_h0", "_h1")]
+    out = sums.groupBy(*keys).agg(
+        count("m").alias("merged_total"), count("b").alias("background_splats"), count("o").alias("object_total_splats"),
+        ((rest[0] == 0) & (rest[1] == 0)).alias("same_rows"))
     expected = F.col("background_splats") + F.col("object_total_splats")
-    return out.withColumns({"expected_if_no_overlap": expected, "delta": F.col("merged_total") - expected})
+    delta = F.col("merged_total") - expected
+    return out.withColumns({"expected_if_no_overlap": expected, "delta": delta, "same_rows": F.col("same_rows") & (delta == 0)})
 
 
 def object_listing(paths: DataFrame, path: str = "path") -> DataFrame:
