@@ -155,3 +155,36 @@ def test_collapse_guard_is_a_prefix(spark):
 def test_small_masks_are_dropped(spark):
     r = pd.DataFrame({"view_id": [0, 0, 1], "y": [1, 1, 1], "x0": [0, 5, 0], "x1": [9, 14, 8]})
     assert {x.view_id for x in mk.healthy(spark.createDataFrame(r), ["view_id"], 15).collect()} == {0}
+
+
+def test_a_long_chain_settles_in_logarithmic_rounds(spark, monkeypatch):
+    """Each box overlaps the one before and the one after, so a plain round settles two of them."""
+    n, writes = 4096, []
+    plain = dd.stage
+    monkeypatch.setattr(dd, "stage", lambda df: (writes.append(1), plain(df))[1])
+    rows = [(i, 0, 30 * i, 0, 30 * i + 100, 100) for i in range(n)]
+    b = spark.createDataFrame(rows, "item_id int, scene_id int, x0 int, y0 int, x1 int, y1 int")
+    got = dd.greedy_nms(b, ["scene_id"], [], "item_id", 0.5).collect()
+    assert {r.item_id for r in got if r.kept} == set(range(0, n, 2))
+    assert all(r.clash == r.item_id - 1 for r in got if r.item_id % 2)
+    assert (len(writes) - 3) / 2 <= 15
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_crowded_graph_equals_the_walk(spark, seed):
+    """Dense overlaps: boxes that wait for several undecided ones, over several groups."""
+    rng = np.random.default_rng(seed)
+    n = 150
+    x, y = rng.integers(0, 60, n), rng.integers(0, 40, n)
+    pdf = pd.DataFrame({"item_id": rng.permutation(n), "scene_id": rng.integers(0, 2, n), "x0": x, "y0": y,
+                        "x1": x + rng.integers(40, 60, n), "y1": y + rng.integers(40, 60, n)})
+    kept, clash = [], {}
+    for r in pdf.sort_values("item_id").itertuples():
+        hit = next((q for q in kept if q.scene_id == r.scene_id and iou(r, q, 0) >= 0.4), None)
+        if hit is None:
+            kept.append(r)
+        else:
+            clash[r.item_id] = hit.item_id
+    got = dd.greedy_nms(spark.createDataFrame(pdf), ["scene_id"], [], "item_id", 0.4).toPandas()
+    assert set(got.item_id[got.kept]) == {r.item_id for r in kept}
+    assert {int(i): int(c) for i, c in zip(got.item_id, got.clash) if c == c} == clash
