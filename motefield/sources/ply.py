@@ -3,13 +3,18 @@
 Reading: the schema comes from one header; files are cut into byte ranges, and a
 task takes the fixed-width records that start inside its range, so one large
 file is read by many tasks.  Writing: each task streams its rows, sorted by file,
-into hidden files that the commit renames; a lost or repeated task leaves nothing.
+into hidden files.  The commit writes one log that names them all and only then renames
+them, so a job shows whole or not at all: before the log nothing of it is read, and from
+then on the scans read what is not yet renamed under its final name.  Whoever commits
+next to the same folder finishes the renames, as ``recover`` does.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import sys
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -33,6 +38,7 @@ _HEADER = 4096
 @dataclass
 class ByteRange(InputPartition):
     path: str
+    place: str
     start: int
     end: int
 
@@ -58,16 +64,93 @@ def qualified(spark: SparkSession, path: str) -> str:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
 
 
-def _files(path: str, recursive: bool, suffix: str) -> list[tuple[str, int]]:
+_LOGS = "_pending"
+
+
+def _logged(system, log: str) -> list[tuple[str, str]]:
+    """(hidden, final) paths of a log; none if the job was finished meanwhile."""
+    try:
+        with system.open_input_stream(log) as stream:
+            moves = json.loads(stream.read())
+    except FileNotFoundError:
+        return []
+    base = os.path.dirname(os.path.dirname(log))
+    return [(f"{base}/{a}", f"{base}/{b}") for a, b in moves]
+
+
+def _logs_in(system, base: str) -> list[str]:
+    from pyarrow import fs
+    found = system.get_file_info(fs.FileSelector(f"{base}/{_LOGS}", allow_not_found=True))
+    return sorted(f.path for f in found if f.type == fs.FileType.File and not f.base_name.startswith("."))
+
+
+def _pending(system, base: str, below: list[str]) -> dict[str, str]:
+    """Final path to hidden one for committed files whose rename is open.
+
+    Logs lie in the folder that was written to: the one read, one above, or one ``below``.
+    """
+    logs, folder = list(below), base.rstrip("/")
+    while folder:
+        logs += _logs_in(system, folder)
+        folder = folder.rpartition("/")[0]
+    ordered = sorted(set(logs), key=os.path.basename)
+    return {final: hidden for log in ordered for hidden, final in _logged(system, log)}
+
+
+def _files(path: str, recursive: bool, suffix: str) -> list[tuple[str, int, str]]:
+    """(name, bytes, place) of every file that a finished commit put below ``path``."""
     from pyarrow import fs
     system, base = _filesystem(path)
-    info = system.get_file_info(base)
-    if info.type == fs.FileType.File:
-        return [(path, info.size)]
-    found = system.get_file_info(fs.FileSelector(base, recursive=recursive))
     prefix = path[: len(path) - len(base)] if path.endswith(base) else ""
-    return sorted((prefix + f.path, f.size) for f in found
-                  if f.type == fs.FileType.File and f.base_name.endswith(suffix) and not f.base_name.startswith(("_", ".")))
+    info = system.get_file_info(base)
+    if info.type != fs.FileType.Directory:
+        hidden = _pending(system, base, []).get(base)
+        there = system.get_file_info(hidden) if hidden else info
+        if there.type == fs.FileType.File:
+            return [(path, there.size, prefix + hidden if hidden else path)]
+        return [(path, info.size, path)] if info.type == fs.FileType.File else []
+    found = [f for f in system.get_file_info(fs.FileSelector(base, recursive=recursive)) if f.type == fs.FileType.File]
+    sizes = {f.path: f.size for f in found}
+    logs = [f.path for f in found if f"/{_LOGS}/" in f.path and not f.base_name.startswith(".")]
+    places = {f.path: f.path for f in found if f.base_name.endswith(suffix) and not f.base_name.startswith(("_", "."))}
+    places.update({final: hidden for final, hidden in _pending(system, base, logs).items()
+                   if hidden in sizes and final.endswith(suffix)})
+    return sorted((prefix + final, sizes[place], prefix + place) for final, place in places.items())
+
+
+def _open(place: str, name: str):
+    """The file where the listing found it, or under its name if it was renamed since."""
+    system, path = _filesystem(place)
+    try:
+        return system.open_input_file(path)
+    except FileNotFoundError:
+        return system.open_input_file(_filesystem(name)[1])
+
+
+def _finish(system, log: str) -> None:
+    """Rename what a log names and remove it; steps that are done already are passed over."""
+    for hidden, final in _logged(system, log):
+        try:
+            system.move(hidden, final)
+        except FileNotFoundError:
+            pass
+    _remove(system, log)
+
+
+def _remove(system, path: str) -> None:
+    try:
+        system.delete_file(path)
+    except FileNotFoundError:
+        pass
+
+
+def recover(spark: SparkSession, path: str) -> int:
+    """Finish commits to the folder that died between their log and their last rename; returns how many."""
+    system, base = _filesystem(qualified(spark, path))
+    logs = _logs_in(system, base.rstrip("/"))
+    for log in logs:
+        _finish(system, log)
+    return len(logs)
 
 
 def _read_header(stream) -> tuple[list[tuple[str, str]], int, int]:
@@ -97,9 +180,8 @@ def _read_header(stream) -> tuple[list[tuple[str, str]], int, int]:
     return props, count, end
 
 
-def _properties(file: str) -> list[tuple[str, str]]:
-    system, path = _filesystem(file)
-    with system.open_input_file(path) as stream:
+def _properties(place: str, name: str) -> list[tuple[str, str]]:
+    with _open(place, name) as stream:
         return _read_header(stream)[0]
 
 
@@ -120,13 +202,12 @@ class SplatReader(DataSourceReader):
         self.columns = [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
     def partitions(self):
-        return [ByteRange(p, a, min(a + _CHUNK, size)) for p, size in _files(self.path, self.recursive, ".ply")
+        return [ByteRange(p, place, a, min(a + _CHUNK, size)) for p, size, place in _files(self.path, self.recursive, ".ply")
                 for a in range(0, max(size, 1), _CHUNK)]
 
     def read(self, part):
         import numpy as np
-        system, path = _filesystem(part.path)
-        with system.open_input_file(path) as stream:
+        with _open(part.place, part.path) as stream:
             props, count, body = _read_header(stream)
             kind = np.dtype(props)
             first = max(0, -(-(part.start - body) // kind.itemsize))
@@ -161,6 +242,7 @@ class SplatWriter(DataSourceArrowWriter):
     def __init__(self, options, schema, record):
         self.path, self.record = options["path"], record
         self.columns = [(f.name, f.dataType.simpleString()) for f in schema.fields if f.name != "file"]
+        self.job = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
 
     def _header(self, n: int) -> bytes:
         if self.record == "viewer":
@@ -221,7 +303,7 @@ class SplatWriter(DataSourceArrowWriter):
                     final = f"{base}/{name}"
                     folder, leaf = os.path.split(final)
                     system.create_dir(folder, recursive=True)
-                    hidden = f"{folder}/._{leaf}.{uuid.uuid4().hex}"
+                    hidden = f"{folder}/._{leaf}.{self.job}.{uuid.uuid4().hex}"
                     moves.append((hidden, final))
                     body = hidden + ".body" if self.record != "viewer" else hidden
                     stream = system.open_output_stream(body)
@@ -232,17 +314,43 @@ class SplatWriter(DataSourceArrowWriter):
         close()
         return Written(moves)
 
+    def _log(self, base: str) -> str:
+        return f"{base.rstrip('/')}/{_LOGS}/{self.job}.json"
+
     def commit(self, messages):
-        system, _ = _filesystem(self.path)
-        for m in messages:
-            for hidden, final in (m.moves if m else []):
-                system.move(hidden, final)
+        system, base = _filesystem(self.path)
+        base = base.rstrip("/")
+        for older in _logs_in(system, base):
+            _finish(system, older)
+        moves = [(hidden, final) for m in messages for hidden, final in (m.moves if m else [])]
+        log = self._log(base)
+        folder, leaf = os.path.split(log)
+        system.create_dir(folder, recursive=True)
+        with system.open_output_stream(f"{folder}/.{leaf}") as out:
+            out.write(json.dumps([(a[len(base) + 1:], b[len(base) + 1:]) for a, b in moves]).encode())
+        system.move(f"{folder}/.{leaf}", log)          # the moment of the commit
+        _finish(system, log)
+        self._sweep(system, {os.path.dirname(final) for _, final in moves})
+
+    def _sweep(self, system, folders) -> None:
+        """Hidden files of attempts that were lost or repeated, in the folders the job wrote to."""
+        from pyarrow import fs
+        for folder in folders:
+            for f in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+                if f.base_name.startswith("._") and self.job in f.base_name:
+                    _remove(system, f.path)
 
     def abort(self, messages):
-        system, _ = _filesystem(self.path)
+        """Take back what was written, unless the log is there: then the job counts, and is finished."""
+        from pyarrow import fs
+        system, base = _filesystem(self.path)
+        log = self._log(base)
+        if system.get_file_info(log).type == fs.FileType.File:
+            _finish(system, log)
+            return
         for m in messages:
             for hidden, _final in (m.moves if m else []):
-                system.delete_file(hidden)
+                _remove(system, hidden)
 
 
 class PlySource(DataSource):
@@ -255,8 +363,8 @@ class PlySource(DataSource):
     def schema(self):
         """The union of all headers; ``read_ply`` finds it in tasks and passes it in."""
         recursive = str(self.options.get("recursiveFileLookup", "false")).lower() == "true"
-        found = [(i, j, n, t) for i, (p, _) in enumerate(_files(self.options["path"], recursive, ".ply"))
-                 for j, (n, t) in enumerate(_properties(p))]
+        found = [(i, j, n, t) for i, (p, _, place) in enumerate(_files(self.options["path"], recursive, ".ply"))
+                 for j, (n, t) in enumerate(_properties(place, p))]
         return _united(found)
 
     def reader(self, schema):
@@ -295,14 +403,15 @@ def read_ply(spark: SparkSession, path: str, recursive: bool = False, schema: St
 
 def union_schema(spark: SparkSession, path: str, recursive: bool = False) -> StructType:
     """Headers are read in tasks; what comes back is each property once, however many files there are."""
-    files = [p for p, _ in _files(path, recursive, ".ply")]
+    files = [(place, p) for p, _, place in _files(path, recursive, ".ply")]
     if not files:
         raise FileNotFoundError(f"no PLY file in {path}")
-    listed = spark.createDataFrame(list(enumerate(files)), "i int, file string").repartition(min(len(files), 200))
+    listed = spark.createDataFrame([(i, *f) for i, f in enumerate(files)], "i int, place string, file string").repartition(min(len(files), 200))
 
     def headers(batches):
         for b in batches:
-            rows = [(i, j, n, t) for i, f in zip(b.column("i").to_pylist(), b.column("file").to_pylist()) for j, (n, t) in enumerate(_properties(f))]
+            rows = [(i, j, n, t) for i, at, f in zip(*[b.column(c).to_pylist() for c in ("i", "place", "file")])
+                    for j, (n, t) in enumerate(_properties(at, f))]
             cols = list(zip(*rows)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.string(), pa.string()))], names=["i", "j", "n", "t"])
 

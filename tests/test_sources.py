@@ -114,3 +114,72 @@ def test_items_and_replies(spark, tmp_path):
     assert [(r.idx, r.label, r.w, r.bbox_2d) for r in got] == [(0, "tv", 10, [1, 2, 3, 4]), (1, "rug", 10, None)]
     (tmp_path / "r.txt").write_text("line one\nline two")
     assert sc.reply_scan(spark, str(tmp_path / "r.txt")).first().raw == "line one\nline two"
+
+
+class Dying:
+    """A file system whose ``move`` fails from the n-th call on, as a driver that is lost there."""
+
+    def __init__(self, system, calls):
+        self.system, self.calls = system, calls
+
+    def move(self, a, b):
+        if self.calls == 0:
+            raise InterruptedError("driver lost")
+        self.calls -= 1
+        self.system.move(a, b)
+
+    def __getattr__(self, name):
+        return getattr(self.system, name)
+
+
+def written(path, names, value):
+    import pyarrow as pa
+    from pyspark.sql.types import FloatType, StringType, StructField, StructType
+    job = ply.SplatWriter({"path": str(path)}, StructType([StructField("x", FloatType()), StructField("file", StringType())]), "ply")
+    batch = lambda some: pa.RecordBatch.from_pydict({"x": pa.array([value] * len(some), pa.float32()), "file": some})
+    return job, [job.write([batch(names[:2])]), job.write([batch(names[2:])])]
+
+
+@pytest.mark.parametrize("calls", range(6))
+def test_a_commit_that_dies_shows_all_or_nothing(spark, tmp_path, monkeypatch, calls):
+    names = ["s/a.ply", "s/b.ply", "t/c.ply", "t/d.ply"]
+    job, messages = written(tmp_path, names, 1.0)
+    job.commit(messages)
+    job, messages = written(tmp_path, names, 2.0)
+    plain = ply._filesystem
+    with monkeypatch.context() as m:
+        m.setattr(ply, "_filesystem", lambda p: (Dying(plain(p)[0], calls), plain(p)[1]))
+        if calls < 5:
+            with pytest.raises(InterruptedError):
+                job.commit(messages)
+        else:
+            job.commit(messages)
+    want = 1.0 if calls == 0 else 2.0
+    rows = lambda p, deep=False: sorted((os.path.relpath(r.file.replace("file:", ""), tmp_path), r.x) for r in ply.read_ply(spark, str(p), deep).collect())
+    assert rows(tmp_path, True) == [(n, want) for n in names]
+    assert rows(tmp_path / "t") == [(n, want) for n in names[2:]] and rows(tmp_path / "t/d.ply") == [("t/d.ply", want)]
+    assert ply.recover(spark, str(tmp_path)) == (1 if 0 < calls < 5 else 0)
+    assert rows(tmp_path, True) == [(n, want) for n in names]
+    if calls:
+        assert not [f for _, _, fs in os.walk(tmp_path) for f in fs if not f.endswith(".ply") or f.startswith(".")]
+
+
+def test_abort_takes_back_only_what_is_not_committed(spark, tmp_path, monkeypatch):
+    names = ["a.ply", "b.ply", "c.ply", "d.ply"]
+    job, messages = written(tmp_path, names, 1.0)
+    job.abort(messages)
+    assert os.listdir(tmp_path) == []
+    job, messages = written(tmp_path, names, 2.0)
+    plain = ply._filesystem
+    with monkeypatch.context() as m:
+        m.setattr(ply, "_filesystem", lambda p: (Dying(plain(p)[0], 2), plain(p)[1]))
+        with pytest.raises(InterruptedError):
+            job.commit(messages)
+    job.abort(messages)
+    assert sorted(f for f in os.listdir(tmp_path) if f.endswith(".ply")) == names
+    lost, _ = written(tmp_path, names, 3.0)                # an attempt whose message never came
+    lost.commit([])
+    later, messages = written(tmp_path, names, 4.0)
+    later.write([])
+    later.commit(messages)
+    assert {r.x for r in ply.read_ply(spark, str(tmp_path)).collect()} == {4.0}
