@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
-from ..staging import small, stage, staged_small
+from ..staging import attach, computed, small, stage, staged_small
 from .projection import project
 from .ranking import even_hash, sample_per_group, top_rows
 from .voxels import exact_mean
@@ -51,8 +51,80 @@ def dominant_yaw(cells: DataFrame, keys: list[str], least: int = 200, lines: int
         *keys, F.coalesce("_deg", F.lit(0.0)).alias("yaw_deg"))
 
 
+_CELLS = (32, 8, 2)      # cell sizes of the pyramid, as multiples of the distance that counts as near
+_G = ["_gx", "_gy", "_gz"]
+_COEF = ["a", "b", "c", "d"]
+
+
+def _cells(df: DataFrame, keys: list[str], near: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Finite points with their finest cell, and per level of the pyramid each cell's count and box of points."""
+    fine = near * _CELLS[-1]
+    pts = computed(df.select(*keys, "x", "y", "z"), {a: F.col(a).cast("double") for a in "xyz"})
+    for a in "xyz":
+        pts = pts.where(F.abs(F.col(a)) < 1e15)
+    pts = computed(pts, {**{a: F.col(a) for a in "xyz"}, **{g_: F.floor(F.col(a) / fine) for a, g_ in zip("xyz", _G)}})
+    finest = stage(pts.groupBy(*keys, *_G).agg(F.count("*").alias("_n"), *[f(a).alias(f"_{a}_{m}") for a in "xyz" for m, f in (("lo", F.min), ("hi", F.max))]))
+    levels = []
+    for size in _CELLS:
+        step = size // _CELLS[-1]
+        up = finest.withColumns({g_: F.floor(F.col(g_) / step) for g_ in _G})
+        levels.append(finest if step == 1 else up.groupBy(*keys, *_G).agg(F.sum("_n").alias("_n"), *[
+            f(f"_{a}_{m}").alias(f"_{a}_{m}") for a in "xyz" for m, f in (("lo", F.min), ("hi", F.max))]))
+    return pts, levels
+
+
+def _cut(cells: DataFrame, near: float) -> tuple[DataFrame, DataFrame]:
+    """Of cells with a plane each: those wholly near it, and those it leaves open; the rest is far."""
+    mid = lambda a: (F.col(f"_{a}_lo") + F.col(f"_{a}_hi")) / 2
+    half = lambda a: (F.col(f"_{a}_hi") - F.col(f"_{a}_lo")) / 2
+    terms = list(zip("abc", "xyz"))
+    at = F.abs(sum((F.col(n) * mid(a) for n, a in terms), F.col("d")))
+    reach = sum((F.abs(F.col(n)) * half(a) for n, a in terms), F.lit(0.0))
+    slack = 1e-9 * (sum((F.abs(F.col(n)) * (F.abs(mid(a)) + half(a)) for n, a in terms), F.abs(F.col("d"))) + 1.0)
+    seen = cells.withColumns({"_whole": at + reach + slack <= near, "_far": at - reach - slack > near})
+    return seen.where("_whole"), seen.where(~F.col("_whole") & ~F.col("_far"))
+
+
+def open_cells(df: DataFrame, keys: list[str], planes: DataFrame, near: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(points with their cell, counts settled by whole cells, finest cells that a plane cuts).
+
+    A pyramid of cells is walked from coarse to fine, each level only with the planes that
+    cut the cell above.  A cell whose points' box lies wholly near a plane adds its count, one
+    wholly beyond it adds nothing; only cells that a plane cuts are asked point by point.
+    """
+    pts, levels = _cells(df, keys, near)
+    settled, still = None, None
+    for i, cells in enumerate(levels):
+        if still is None:
+            met = cells.join(small(planes), keys)
+        else:
+            step = _CELLS[i - 1] // _CELLS[i]
+            above = still.select(*keys, *[F.col(g_).alias(f"_up{g_}") for g_ in _G], "try", *_COEF)
+            met = cells.withColumns({f"_up{g_}": F.floor(F.col(g_) / step) for g_ in _G}).join(
+                small(above), [*keys, *[f"_up{g_}" for g_ in _G]]).drop(*[f"_up{g_}" for g_ in _G])
+        whole, still = _cut(met, near)
+        still = stage(still.select(*keys, *_G, "_n", "try", *_COEF))
+        whole = whole.groupBy(*keys, "try").agg(F.sum("_n").alias("_in"))
+        settled = whole if settled is None else settled.unionByName(whole)
+    return pts, settled, still
+
+
+def inlier_counts(df: DataFrame, keys: list[str], planes: DataFrame, near: float) -> DataFrame:
+    """``planes`` (keys, try, a, b, c, d) with ``inliers``, the points of the group within ``near`` of each."""
+    pts, settled, cut = open_cells(df, keys, planes, near)
+    asked = cut.groupBy(*keys, *_G).agg(F.max("_n").alias("_n"), F.collect_list(F.struct("try", *_COEF)).alias("_planes"))
+    pts = attach(pts, asked, [*keys, *_G], "_n").where(F.col("_planes").isNotNull())
+    dist = F.abs(F.col("_p.a") * F.col("x") + F.col("_p.b") * F.col("y") + F.col("_p.c") * F.col("z") + F.col("_p.d"))
+    found = pts.withColumn("_p", F.explode("_planes")).where(dist <= near).groupBy(*keys, F.col("_p.try").alias("try")).agg(F.count("*").alias("_in"))
+    total = settled.unionByName(found).groupBy(*keys, "try").agg(F.sum("_in").alias("inliers"))
+    return planes.join(staged_small(total), [*keys, "try"], "left").fillna(0, ["inliers"])
+
+
 def plane_fit(df: DataFrame, keys: list[str], ids: list[str], tries: int = 64, near: float = 0.05, seed: int = 7) -> DataFrame:
-    """Floor plane by consensus: planes through seeded point triples, the one with most points near it."""
+    """Floor plane by consensus: planes through seeded point triples, the one with most points near it.
+
+    Points are counted by cells; see ``open_cells``.
+    """
     pts = sample_per_group(df.select(*keys, *ids, "x", "y", "z"), keys, 3 * tries, ids, seed)
     w = Window.partitionBy(*keys).orderBy(even_hash(ids, seed + 1), *ids)
     pts = pts.withColumn("_r", F.row_number().over(w) - 1).withColumns({"try": F.floor(F.col("_r") / 3), "_p": F.col("_r") % 3})
@@ -66,8 +138,6 @@ def plane_fit(df: DataFrame, keys: list[str], ids: list[str], tries: int = 64, n
     tri = tri.withColumns({m: F.col(s) * sign / F.col("_len") for m, s in (("a", "na"), ("b", "nb"), ("c", "nc"))})
     tri = tri.withColumn("d", -(F.col("a") * F.col("x0") + F.col("b") * F.col("y0") + F.col("c") * F.col("z0")))
     tries_ = stage(tri.select(*keys, "try", "a", "b", "c", "d"))
-    dist = F.abs(F.col("a") * F.col("x") + F.col("b") * F.col("y") + F.col("c") * F.col("z") + F.col("d"))
-    score = df.select(*keys, "x", "y", "z").join(small(tries_), keys).groupBy(*keys, "try", "a", "b", "c", "d").agg(
-        F.count_if(dist <= near).alias("inliers"))
+    score = inlier_counts(df, keys, tries_, near)
     best = score.groupBy(*keys).agg(F.max_by(F.struct("a", "b", "c", "d", "inliers"), F.struct("inliers", (-F.col("try")).alias("t"))).alias("_b"))
     return best.select(*keys, "_b.*")

@@ -108,3 +108,33 @@ def test_art_slab_along_its_own_normal(spark):
 def test_thin_depth_uses_the_median(spark):
     pdf = pd.DataFrame({"k": 1, "d": [0.0, 0.01, 0.011, 0.02, 0.021]})
     assert fl.depth_mode(spark.createDataFrame(pdf), ["k"], "d").first().plane_depth == 0.011
+
+
+def plane_room(n, seed):
+    rng = np.random.default_rng(seed)
+    p = rng.uniform(-2, 2, (n, 3))
+    p[: n // 2, 1] = 0.3 * p[: n // 2, 0] + rng.normal(0, 0.01, n // 2)
+    pdf = pd.DataFrame(p, columns=list("xyz")).assign(scene_id=np.arange(n) % 2, id=range(n))
+    n_ = rng.normal(size=(10, 3))
+    n_ /= np.linalg.norm(n_, axis=1, keepdims=True)
+    planes = pd.DataFrame(n_, columns=list("abc")).assign(d=rng.uniform(-1, 1, 10), **{"try": range(10)})
+    planes.loc[0, list("abcd")] = [-0.3 / 1.09 ** 0.5, 1 / 1.09 ** 0.5, 0.0, 0.0]
+    planes.loc[1, "d"] = 100.0
+    return pdf, pd.concat([planes.assign(scene_id=s) for s in (0, 1)], ignore_index=True)
+
+
+def test_inliers_by_cells_equal_plain_counts(spark, side):
+    pdf, planes = plane_room(4000, 1)
+    pdf.loc[:3, "x"], pdf.loc[4:6, "y"], pdf.loc[7, "z"] = np.nan, np.inf, None
+    got = ft.inlier_counts(spark.createDataFrame(pdf), ["scene_id"], spark.createDataFrame(planes), 0.05).collect()
+    assert len(got) == 20
+    for r in got:
+        p = pdf[pdf.scene_id == r.scene_id]
+        assert r.inliers == (abs(r.a * p.x + r.b * p.y + r.c * p.z + r.d) <= 0.05).sum()
+    assert ft.inlier_counts(spark.createDataFrame(pdf).limit(0), ["scene_id"], spark.createDataFrame(planes), 0.05).agg(F.sum("inliers")).first()[0] == 0
+
+
+def test_few_points_are_asked(spark):
+    pdf, planes = plane_room(60000, 2)
+    _, _, cut = ft.open_cells(spark.createDataFrame(pdf), ["scene_id"], spark.createDataFrame(planes), 0.05)
+    assert cut.agg(F.sum("_n")).first()[0] < 60000 * 10 / 10
